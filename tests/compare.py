@@ -61,7 +61,7 @@ if __name__ == "__main__":
     sf = args.pop(args.index("--sf") + 1) if "--sf" in args else "sf0.01"
     args = [a for a in args if a != "--sf"]
     folder = f"/root/testdata/{sf}"
-    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls = connect(folder), e.oracle_sql()
     bad = 0
