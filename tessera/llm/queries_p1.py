@@ -20,7 +20,7 @@ def p1_canonical_prompts(spark: SparkSession, folder: str) -> DataFrame:
     return tasks.join(forms, "raw_prompt").select("task_id", "raw_prompt", "canonical")
 
 
-def _sql() -> str:
+def form_sql() -> str:
     """The form by table alone, as nested calls; equal to the operator's where no word of another script has its own spelling."""
     chars = [chr(c) for c in range(0x20, 0x30000) if not 0xD800 <= c < 0xE000]
     maps = {c: LOOKALIKES.get(p, p) for c in chars if len(p := plain(c)) == 1 and not ignorable(c) and (p != c or c in LOOKALIKES)}
@@ -37,8 +37,8 @@ def _sql() -> str:
 QUERIES = {"p1_found": p1_found, "p1_canonical_prompts": p1_canonical_prompts}
 
 SQL = {
-    "p1_found": f"""WITH f AS (SELECT raw_prompt, {_sql()} AS form FROM (SELECT DISTINCT raw_prompt FROM tasks WHERE raw_prompt IS NOT NULL)),
+    "p1_found": f"""WITH f AS (SELECT raw_prompt, {form_sql()} AS form FROM (SELECT DISTINCT raw_prompt FROM tasks WHERE raw_prompt IS NOT NULL)),
 t AS (SELECT DISTINCT task_id, raw_prompt, form FROM tasks JOIN f USING (raw_prompt))
 SELECT DISTINCT a.task_id AS task_id_a, b.task_id AS task_id_b FROM t a JOIN t b ON a.form = b.form AND a.task_id < b.task_id AND a.raw_prompt <> b.raw_prompt""",
-    "p1_canonical_prompts": f"SELECT DISTINCT task_id, raw_prompt, {_sql()} AS canonical FROM tasks WHERE raw_prompt IS NOT NULL",
+    "p1_canonical_prompts": f"SELECT DISTINCT task_id, raw_prompt, {form_sql()} AS canonical FROM tasks WHERE raw_prompt IS NOT NULL",
 }
