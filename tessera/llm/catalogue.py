@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import queries_p1, queries_p5, queries_p6, queries_p7, queries_p8, queries_p9
+from tessera.llm import queries_p1, queries_p2, queries_p5, queries_p6, queries_p7, queries_p8, queries_p9
 
-MODULES = (queries_p1, queries_p5, queries_p6, queries_p7, queries_p8, queries_p9)
+MODULES = (queries_p1, queries_p2, queries_p5, queries_p6, queries_p7, queries_p8, queries_p9)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

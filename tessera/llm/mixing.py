@@ -97,6 +97,8 @@ def rake(tokens: np.ndarray, source: np.ndarray, wanted: np.ndarray, limits: np.
     """
     there = np.bincount(source, tokens, len(wanted))
     goal = np.minimum(wanted, there * limits)
+    if not len(tokens):
+        return np.zeros(0)
     weight = np.ones(len(tokens))
     share = [np.bincount(o, tokens) / max(tokens.sum(), 1) for o in others]
     for _ in range(rounds):
