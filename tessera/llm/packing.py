@@ -23,8 +23,8 @@ from tessera.session import cut
 HASHED, AXES, BITS = 64, 3, 10
 #: Items looked at along the curve for one that fits, and the part of the capacity from which an item is large.
 WINDOW, LARGE = 1024, 0.25
-#: Containers' worth of bytes, and rows, that a range holds at most on average.
-RANGE_FILLS, RANGE_ROWS = 64, 1_000_000
+#: A range has about this many containers' worth of bytes at least; and pieces from the one to the other number.
+RANGE_FILLS, RANGE_LEAST, RANGE_MOST = 64, 20_000, 1_000_000
 
 
 def hilbert(axes: np.ndarray, bits: int) -> np.ndarray:
@@ -157,9 +157,9 @@ def filled(items: DataFrame, capacity: int) -> DataFrame:
     negative. An empty table gives an empty one. items is read several times: best a written table.
     """
     spark = items.sparkSession
-    totals = items.agg(F.sum("bytes").alias("b"), F.count("*").alias("n")).first()
-    ranges = max(1, (totals["b"] or 0) // (RANGE_FILLS * capacity), (totals["n"] or 0) // RANGE_ROWS)
     last = F.greatest(F.ceil(F.col("bytes") / F.lit(capacity)), F.lit(1)) - 1
+    totals = items.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("b"), F.coalesce(F.sum(last + 1), F.lit(0)).alias("n")).first()
+    ranges = max(1, min(totals["b"] // (RANGE_FILLS * capacity), totals["n"] // RANGE_LEAST), totals["n"] // RANGE_MOST)
     pieces = items.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn("bytes", F.least(F.col("bytes") - F.col("piece") * F.lit(capacity), F.lit(capacity)))
     ranged = pieces.repartitionByRange(int(ranges), "key", "item", "piece").sortWithinPartitions("key", "item", "piece")
     packed = cut(ranged.select("item", "piece", "bytes").mapInArrow(_pack_range(capacity), "item string, piece long, bytes long, part int, local long"))

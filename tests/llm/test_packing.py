@@ -35,6 +35,7 @@ def test_pack(sizes, capacity, window):
 
 def test_filled(spark, monkeypatch):
     monkeypatch.setattr(packing, "RANGE_FILLS", 4)
+    monkeypatch.setattr(packing, "RANGE_LEAST", 100)
     rng = np.random.default_rng(1)
     rows = [(f"i{k}", int(s), int(k % 97)) for k, s in enumerate(rng.integers(0, 400, 900))] + [("big", 3500, 5), ("even", 2000, 6), ("even", 2000, 6), ("none", 0, 1)]
     got = filled(spark.createDataFrame(rows, "item string, bytes long, key long"), 1000).collect()
