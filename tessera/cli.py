@@ -103,7 +103,7 @@ def validate_staging(spark: SparkSession, staging: str, output: str | None = Non
     table = cut(_release(spark, staging))
     prompts = spark.read.schema(schemas.PROMPTS).option("header", True).option("multiLine", True).option("escape", '"').csv(f"{staging}/prompts.csv")
     index = files.shard_index(spark, f"{staging}/shard_index.json")
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(f"{staging}/shards").select(F.regexp_extract("path", r"(shards/[^/]+)$", 1).alias("shard"), "path", "length")
+    archives = files.listing(spark, [f"{staging}/shards"], ".tar").select(F.regexp_extract("path", r"(shards/[^/]+)$", 1).alias("shard"), "path", "length")
     members = containers.tar_members(spark, files.matches(spark, f"{staging}/shards/*.tar")).select(F.regexp_extract("archive", r"(shards/[^/]+)$", 1).alias("shard"), F.col("member").alias("file_name"))
     csv_rows = files.csv_rows(spark, f"{staging}/metadata.csv")
     found = checks.release_violations(table, prompts, schemas.profiles(spark), shape, csv_rows)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,12 +141,29 @@ def prior_metadata(spark: SparkSession, path: str | None) -> DataFrame:
     return last_wins(placed, ["task_id"], "_line").drop("_line")
 
 
-def media_listing(spark: SparkSession, folder: str, glob: str = "*.mp4") -> DataFrame:
-    """``task_id`` (the file's stem)``, path, length`` of a flat folder; contents are not read."""
+def listing(spark: SparkSession, folders: list[str], ending: str) -> DataFrame:
+    """``path, length`` of the files with an ending in flat folders, empty ones too (which Spark's own file sources pass over); a task per folder, contents are not read, a folder that isn't there is empty."""
+
+    def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                system, at = (fs.LocalFileSystem(), folder.removeprefix("file:")) if "://" not in folder else fs.FileSystem.from_uri(folder)
+                scheme = folder[: len(folder) - len(folder.partition("://")[2])] if "://" in folder else ""
+                found = [f for f in system.get_file_info(fs.FileSelector(at, allow_not_found=True)) if f.type == fs.FileType.File and f.path.endswith(ending)]
+                for k in range(0, len(found), 10_000):
+                    part = found[k : k + 10_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([scheme + f.path for f in part]), pa.array([f.size for f in part], pa.int64())], names=["path", "length"])
+
+    return spark.createDataFrame([(f,) for f in folders], "folder string").repartition(max(1, len(folders))).mapInArrow(walk, "path string, length long")
+
+
+def media_listing(spark: SparkSession, *folders: str, ending: str = ".mp4") -> DataFrame:
+    """``task_id`` (the file's stem)``, path, length`` of flat folders."""
     from tessera.functions.scalars import file_stem
 
-    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return df.select(file_stem(F.col("path")).alias("task_id"), "path", "length")
+    return listing(spark, list(folders), ending).select(file_stem(F.col("path")).alias("task_id"), "path", "length")
 
 
 def checksum_manifest(spark: SparkSession, path: str) -> DataFrame:
