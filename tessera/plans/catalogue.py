@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import integrity
+from tessera.plans import integrity, queries as pipeline
 
-MODULES = (integrity,)
+MODULES = (pipeline, integrity)
 
 
 def entry(spark: SparkSession, folder: str) -> DataFrame:
-    return integrity.p3_orphans_by_month(spark, folder)
+    """Prompts fanned out over the profiles, cleaned and templated, counted by account."""
+    return pipeline.tasks_by_account_profile(spark, folder)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,15 +7,18 @@ travel as rows.
 from __future__ import annotations
 
 import hashlib
+import io
 import json
 import subprocess
 import tarfile
 from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.functions import pandas_udf
 
 #: Bytes of the head that the ``head`` mode walks, and of a chunk when a whole file is read.
 HEAD, CHUNK = 4096, 8 << 20
@@ -86,11 +89,6 @@ def with_boxes(files: DataFrame, path: str = "path", mode: str = "seek") -> Data
 
 def boxes_of(content, limit: int = HEAD):
     """Boxes of a binary column (small contents only), as an Arrow UDF."""
-    import io
-
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
     @pandas_udf(BOXES)
     def walk(data: pd.Series) -> pd.Series:
         return data.map(lambda b: None if b is None else boxes(io.BytesIO(b), len(b), limit))
