@@ -96,10 +96,9 @@ def _build() -> ahocorasick.Automaton:
             if letters_only and c >= "⺀":
                 continue
             seq = garbled(c, "utf-8", read)
-            if letters_only and seq.isalpha():
-                continue
             tail = set(seq[1:])
-            weak = tail <= MAY_FOLLOW or (len(seq) == 2 and seq[0] in "–—‚„") or (read == "cp1251" and seq == "В·") or (read == "koi8-r" and tail <= set("°²·÷©≈≤≥√ё"))
+            # the leads of these two are letters of Russian: a sequence of letters alone is no evidence
+            weak = tail <= MAY_FOLLOW or (letters_only and seq.isalpha()) or (len(seq) == 2 and seq[0] in "–—‚„") or (read == "cp1251" and seq == "В·") or (read == "koi8-r" and tail <= set("°²·÷©≈≤≥√ё"))
             found[seq].append(("utf-8", read, weak))
     for true, read in WESTERN:
         for c in "äöüßÄÖÜéèêëàâáãåçíìîïñóòôõúùûøæœÉÈÀÂÇÊÎÔÑÓÕÁÃÍÚ":
