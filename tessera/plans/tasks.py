@@ -11,10 +11,22 @@ from tessera import schemas
 from tessera.functions.scalars import account, task_id
 
 
+#: Profiles that a fan-out takes at most.
+MOST_PROFILES = 1000
+
+
 def task_table(prompts: DataFrame, profiles: DataFrame, accounts: Sequence[str] = schemas.ACCOUNTS) -> DataFrame:
-    """Tasks of ``global_id, prompt_id, category, raw_prompt``: accounts in turn, an id of account, number and profile. The profiles are few and sent to all tasks."""
+    """Tasks of ``global_id, prompt_id, category, raw_prompt``: accounts in turn, an id of account, number and profile.
+
+    The profiles, at most MOST_PROFILES, become an array in the plan that every prompt is exploded by: no join and no shuffle."""
+    columns = ("resolution", "width", "height", "num_frames", "frame_rate")
+    held = profiles.select(*columns).limit(MOST_PROFILES + 1).collect()
+    if len(held) > MOST_PROFILES:
+        raise ValueError(f"more than {MOST_PROFILES} profiles")
     own = account(F.col("global_id"), accounts)
-    wide = prompts.crossJoin(F.broadcast(profiles.select("resolution", "width", "height", "num_frames", "frame_rate")))
+    kinds = {f.name: f.dataType for f in profiles.schema.fields}
+    array = F.array(*[F.struct(*[F.lit(r[c]).cast(kinds[c]).alias(c) for c in columns]) for r in held]).cast("array<struct<" + ",".join(f"{c}:{kinds[c].simpleString()}" for c in columns) + ">>")
+    wide = prompts.select("global_id", "prompt_id", "category", "raw_prompt", F.explode(array).alias("_p")).select("global_id", "prompt_id", "category", "raw_prompt", "_p.*")
     return wide.withColumn("account", own).withColumn("task_id", task_id(F.col("account"), F.col("global_id"), F.col("resolution"))).select(*schemas.columns(schemas.TASKS))
 
 
