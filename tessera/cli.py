@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera import schemas
-from tessera.functions.scalars import parse_size
+from tessera.functions.scalars import first_part, parse_size, percent
 from tessera.operators import profiling, rules
 from tessera.operators.keys import unique
 from tessera.operators.packing import next_fit
@@ -93,45 +93,48 @@ def make_shards(spark: SparkSession, root: str, dest: str, limit: str = "2g", fo
 
 
 def validate_dataset(spark: SparkSession, root: str, min_size: int = 1024, out: str | None = None) -> dict:
-    made, reports, media = files.tasks(spark, f"{root}/tasks"), files.states(spark, f"{root}/state")[0], files.media_listing(spark, f"{root}/output")
-    made, reports, media = cut(made), cut(reports), cut(media)
+    """The report of a project; all violations are written beside it."""
+    made, reports, media = cut(files.tasks(spark, f"{root}/tasks")), cut(files.states(spark, f"{root}/state")[0]), cut(files.media_listing(spark, f"{root}/output"))
     found = cut(checks.project_violations(made, reports, media, min_size))
-    return sinks.report(spark, out or f"{root}/validation_report.json", checks.project_report(made, reports, media, found))
+    at = out or f"{root}/validation_report.json"
+    sinks.json_table(found, f"{at}.violations")
+    return sinks.report(spark, at, checks.project_report(made, reports, media, found).withColumn("root", F.lit(root)))
 
 
 def validate_staging(spark: SparkSession, staging: str, output: str | None = None, shape: checks.Shape = checks.Shape()) -> dict:
+    """The report of a staged release; all violations are written beside it."""
     table = cut(_release(spark, staging))
-    prompts = spark.read.schema(schemas.PROMPTS).option("header", True).option("multiLine", True).option("escape", '"').csv(f"{staging}/prompts.csv")
+    prompts = cut(spark.read.schema(schemas.PROMPTS).option("header", True).option("multiLine", True).option("escape", '"').csv(f"{staging}/prompts.csv"))
     index = files.shard_index(spark, f"{staging}/shard_index.json")
     archives = files.listing(spark, [f"{staging}/shards"], ".tar").select(F.regexp_extract("path", r"(shards/[^/]+)$", 1).alias("shard"), "path", "length")
-    members = containers.tar_members(spark, files.matches(spark, f"{staging}/shards/*.tar")).select(F.regexp_extract("archive", r"(shards/[^/]+)$", 1).alias("shard"), F.col("member").alias("file_name"))
+    members = cut(containers.tar_members(spark, files.matches(spark, f"{staging}/shards/*.tar")).select(F.regexp_extract("archive", r"(shards/[^/]+)$", 1).alias("shard"), F.col("member").alias("file_name")))
+    checksums = cut(files.checksum_manifest(spark, f"{staging}/checksums.sha256"))
     csv_rows = files.csv_rows(spark, f"{staging}/metadata.csv")
     found = checks.release_violations(table, prompts, schemas.profiles(spark), shape, csv_rows)
-    found = cut(rules.together(found, checks.shard_violations(table, index, cut(archives), cut(members), files.checksum_manifest(spark, f"{staging}/checksums.sha256"))))
-    seen = rules.verdict(found).withColumn("_k", F.lit(1))
-    by_rule = found.groupBy("rule_id").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("rule_id", "n")))).alias("problems")).withColumn("_k", F.lit(1))
-    counts = table.agg(F.count("*").alias("rows"), F.count_distinct("global_id").alias("prompts"), F.count_distinct("shard").alias("shards"), F.sum("file_size").alias("bytes"), F.count_if(F.col("media_metadata_source") == shape.source).alias("probed_rows")).withColumn("_k", F.lit(1))
-    has_parquet = bool(files.matches(spark, f"{staging}/metadata.parquet"))
-    return sinks.report(spark, output or f"{staging}/staging_validation.json", counts.join(seen, "_k").join(by_rule, "_k").withColumn("has_parquet", F.lit(has_parquet)).drop("_k"))
+    found = cut(rules.together(found, checks.shard_violations(table, index, cut(archives), members, checksums)))
+    at = output or f"{staging}/staging_validation.json"
+    sinks.json_table(found, f"{at}.violations")
+    parts = files.sizes(spark, f"{staging}/metadata.parquet")
+    extra = {"metadata_csv_rows": F.lit(csv_rows), "prompts_csv_rows": F.lit(prompts.count()), "parquet_exists": F.lit(bool(parts)), "parquet_size_bytes": F.lit(sum(parts))}
+    return sinks.report(spark, at, checks.release_report(table, members, checksums, found, shape.source).withColumns(extra))
 
 
-def summarize(spark: SparkSession, root: str, out: str | None = None) -> tuple[DataFrame, DataFrame]:
-    reports, bad = files.states(spark, f"{root}/state")
-    reports = cut(reports)
+def summarize(spark: SparkSession, root: str, out: str | None = None, shown: int = 20) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Progress over all, by account, and the first failures."""
+    reports = cut(files.states(spark, f"{root}/state")[0])
     made = files.account_lines(spark, f"{root}/tasks")
     if out:
         sinks.csv_table(reports, out, schemas.columns(schemas.STATS), ["task_id"])
-    planned = made.agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("planned")).withColumn("_k", F.lit(1))
-    overall = reports.agg(F.count("*").alias("touched"), F.count_if(F.col("status") == "done").alias("done")).withColumn("_k", F.lit(1)).join(planned, "_k").drop("_k")
-    by_account = profiling.matrix(reports.withColumn("account", task_owner()), "account", "status", ["done", "running", "failed", "permanent_failed"], "other")
-    full = made.join(by_account, "account", "full_outer").withColumn("pending", F.greatest(F.coalesce("lines", F.lit(0)) - F.coalesce("total", F.lit(0)), F.lit(0)))
-    return overall, full.orderBy("account")
-
-
-def task_owner():
-    from tessera.functions.scalars import first_part
-
-    return first_part(F.col("task_id"))
+    planned = made.agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("planned"))
+    overall = checks.side_by_side(reports.agg(F.count("*").alias("touched"), F.count_if(F.col("status") == "done").alias("done")), planned)
+    whole = F.when(F.col("planned") > 0, F.col("planned")).otherwise(F.col("touched"))
+    overall = overall.withColumns({"untouched": F.greatest(F.lit(0), F.col("planned") - F.col("touched")), "percent_done": percent(F.col("done"), whole)})
+    statuses = ["done", "running", "failed", "permanent_failed"]
+    by_account = profiling.matrix(reports.withColumn("account", first_part(F.col("task_id"))), "account", "status", statuses, "other")
+    full = made.join(by_account, "account", "full_outer").select("account", F.coalesce("lines", "total").alias("tasks"), *[F.coalesce(c, F.lit(0)).alias(c) for c in (*statuses, "other", "total")])
+    full = full.withColumns({"pending": F.greatest(F.col("tasks") - F.col("total"), F.lit(0)), "percent_done": percent(F.col("done"), F.col("tasks"))})
+    failed = reports.where(F.col("status").isin("failed", "permanent_failed")).orderBy("task_id").limit(shown).select("task_id", "status", "error")
+    return overall, full.orderBy("account"), failed
 
 
 def verify(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:

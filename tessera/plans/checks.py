@@ -39,19 +39,42 @@ def project_violations(tasks: DataFrame, states: DataFrame, media: DataFrame, le
     )
 
 
+def as_map(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """A small table of two columns as one row with a map, in order of the key; an empty table gives an empty map."""
+    pairs = F.array_sort(F.collect_list(F.struct(F.coalesce(F.col(key).cast("string"), F.lit("?")).alias("k"), F.col(value).alias("v"))), lambda a, b: F.when(a["k"] < b["k"], -1).otherwise(1))
+    return df.agg(F.map_from_entries(pairs).alias(name))
+
+
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """Tables of one row each as one row."""
+    out = None
+    for r in rows:
+        r = r.withColumn("_k", F.lit(1))
+        out = r if out is None else out.join(r, "_k")
+    return out.drop("_k")
+
+
+def problem_maps(found: DataFrame) -> list[DataFrame]:
+    """Violations by rule: their numbers, and the first few subjects."""
+    few = rules.samples(found).groupBy("rule_id").agg(F.sum("violations").alias("n"), F.flatten(F.collect_list("subjects")).alias("subjects"))
+    return [as_map(few, "rule_id", "n", "problems"), as_map(few, "rule_id", "subjects", "samples")]
+
+
 def project_report(tasks: DataFrame, states: DataFrame, media: DataFrame, found: DataFrame) -> DataFrame:
-    """One row: counts, tasks by account and profile, violations by rule and whether all is well."""
-    one = lambda df, name: df.select(F.lit(1).alias("_k"), F.struct(*df.columns).alias(name))
-    counts = one(cardinalities(tasks, media, ["task_id"]).select(F.col("left_keys").alias("tasks"), F.col("right_keys").alias("files"), "both"), "counts")
-    size = within(media, tasks, ["task_id"]).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
-    by = nested_counts(tasks, "account", "resolution").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("account", "counts")), lambda a, b: F.when(a["account"] < b["account"], -1).otherwise(1))).alias("m"))
-    profile = tasks.groupBy(F.coalesce("resolution", F.lit("?")).alias("resolution")).agg(F.count("*").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("resolution", "n")))).alias("m"))
-    problems = found.groupBy("rule_id").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("rule_id", "n")))).alias("m"))
-    parts = [one(states.agg(F.count("*").alias("reports")), "states"), one(size, "size"), one(by, "by_account"), one(profile, "by_resolution"), one(problems, "problems"), one(rules.verdict(found), "verdict")]
-    out = counts
-    for p in parts:
-        out = out.join(p, "_k")
-    return out.select("counts.*", "states.reports", "size.bytes", F.col("by_account.m").alias("by_account"), F.col("by_resolution.m").alias("by_resolution"), F.col("problems.m").alias("problems"), "verdict.ok")
+    """One row: ``counts``, tasks ``by_account`` and profile and ``by_resolution``, ``problems`` (violations by rule) with ``samples``, and ``ok``."""
+    keys = cardinalities(tasks, media, ["task_id"]).select(F.col("left_keys").alias("tasks"), F.col("right_keys").alias("mp4"), F.col("both").alias("task_mp4"))
+    counts = side_by_side(keys, states.agg(F.count("*").alias("states")), within(media, tasks, ["task_id"]).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("video_size_bytes")))
+    counts = counts.select(F.struct("tasks", "states", "mp4", "task_mp4", "video_size_bytes").alias("counts"))
+    by_account = as_map(nested_counts(tasks, "account", "resolution"), "account", "counts", "by_account")
+    by_resolution = as_map(tasks.groupBy("resolution").agg(F.count("*").alias("n")), "resolution", "n", "by_resolution")
+    return side_by_side(counts, by_account, by_resolution, *problem_maps(found), rules.verdict(found).select("ok"))
+
+
+def release_report(metadata: DataFrame, members: DataFrame, checksums: DataFrame, found: DataFrame, source: str) -> DataFrame:
+    """One row: ``ok, errors``, counts of a staged release, ``profile_counts``, ``problems`` and ``samples``."""
+    counts = metadata.agg(F.count("*").alias("num_videos"), F.count_distinct("global_id").alias("num_prompts"), F.count_distinct("shard").alias("num_shards"), F.count_if(F.col("media_metadata_source") == source).alias("full_media_probe_rows"))
+    profile = as_map(metadata.groupBy("resolution").agg(F.count("*").alias("n")), "resolution", "n", "profile_counts")
+    return side_by_side(rules.verdict(found), counts, members.agg(F.count("*").alias("tar_video_count")), checksums.agg(F.count("*").alias("checksums_rows")), profile, *problem_maps(found))
 
 
 MEASURED = (("actual_width", "encoded_w"), ("actual_height", "encoded_h"), ("actual_num_frames", "num_frames"), ("actual_frame_rate", "frame_rate"), ("actual_duration_seconds", "duration_s"))

@@ -23,6 +23,12 @@ def matches(spark: SparkSession, glob: str) -> list[str]:
     return sorted(str(s.getPath()) for s in (fs.globStatus(p) or []))
 
 
+def sizes(spark: SparkSession, folder: str) -> list[int]:
+    """Bytes of the data files of a written table; none if it isn't there."""
+    p, fs = _path(spark, folder)
+    return [s.getLen() for s in fs.listStatus(p) if not s.getPath().getName().startswith(("_", "."))] if fs.exists(p) else []
+
+
 def newest(spark: SparkSession, glob: str) -> str | None:
     """The last path by name (not by time); None if there is none."""
     found = matches(spark, glob)

@@ -107,7 +107,9 @@ def test_shards(spark, project, staged):
     with pytest.raises(sinks.NotEmpty):
         cli.make_shards(spark, root, staged)
     said = cli.validate_staging(spark, staged, shape=SHAPE)
-    assert said["ok"] and said["has_parquet"] and said["rows"] == 36, said
+    assert said["ok"] and said["parquet_exists"] and said["parquet_size_bytes"] > 0 and said["errors"] == 0 and said["problems"] == {}, said
+    assert (said["num_videos"], said["num_prompts"], said["num_shards"], said["tar_video_count"], said["checksums_rows"], said["metadata_csv_rows"], said["prompts_csv_rows"], said["full_media_probe_rows"]) == (36, 12, len(index), 36, 36, 36, 12, 36)
+    assert said["profile_counts"] == {"1080p": 12, "480p": 12, "720p": 12}
     cli.make_shards(spark, root, staged, refresh_only=True)
     assert cli.validate_staging(spark, staged, shape=SHAPE)["ok"]
 
@@ -167,7 +169,7 @@ def test_project_defects(spark, project, tmp_path):
     for d in ("tasks", "state", "output"):
         shutil.copytree(f"{root}/{d}", f"{copy}/{d}")
     good = cli.validate_dataset(spark, copy, 100)
-    assert good["ok"] and good["tasks"] == 36 and good["by_resolution"] == {"1080p": 12, "480p": 12, "720p": 12}, good
+    assert good["ok"] and good["counts"]["tasks"] == good["counts"]["task_mp4"] == 36 and sum(good["by_account"]["A"].values()) == 6 and good["by_resolution"] == {"1080p": 12, "480p": 12, "720p": 12}, good
     os.remove(f"{copy}/state/{ids[1]}.json")
     os.remove(f"{copy}/output/{ids[2]}.mp4")
     with open(f"{copy}/output/{ids[3]}.mp4", "wb") as f:
@@ -185,7 +187,9 @@ def test_project_defects(spark, project, tmp_path):
     by = {r["task_id"]: r["issues"] for r in sound.collect()}
     assert "no moov" in by[ids[3]] and by[ids[6]] == ["too small"]
     assert [r["task_id"] for r in lost.orderBy("task_id").collect()] == sorted([ids[2], "Z_g1_720p"])
-    overall, by_account = cli.summarize(spark, copy, f"{copy}/stats.csv")
+    assert said["samples"]["not_done"] == sorted([ids[1], ids[4]]) and spark.read.json(f"{copy}/validation_report.json.violations").count() == 7
+    overall, by_account, failed = cli.summarize(spark, copy, f"{copy}/stats.csv")
+    assert failed.count() == 0 and by_account.where("account = 'Z'").first()["tasks"] == 1
     assert overall.first()["planned"] == 36 and overall.first()["done"] == 35 and files.csv_rows(spark, f"{copy}/stats.csv") == 36
     with open(f"{copy}/tasks/tasks_Z.jsonl", "w") as f:
         f.write(json.dumps({**tasks[0], "category": "later"}) + "\n\n")
