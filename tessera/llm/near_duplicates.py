@@ -3,8 +3,8 @@
 Grams are ordered rare first (by document counts in a table of fixed size; any one order is right). Two sets of
 similarity t share a gram in their prefixes, so prefixes are joined gram by gram. A pair is taken up only where
 lengths and places leave room for the overlap it needs (length and positional filter), where the gram is not known to be
-the second shared one, and where a lower bound of the number of grams they differ in allows it (suffix filter, by
-512-bit parity signatures in place of recursive probing). What is left is made distinct and verified once per pair.
+the second shared one, and where a lower bound of the number of grams they differ in from there on allows it (suffix filter, by
+512-bit parity signatures of the suffixes in place of recursive probing). What is left is made distinct and verified once per pair.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ BUCKETS = 1 << 20
 CHUNK = 4096
 #: Groups up to this size are joined together, offset by offset; larger ones row against column.
 SMALL = 64
-WORDS = 8  # 64-bit words of a signature
+#: 64-bit words of a signature, and those that are compared first.
+WORDS, HEAD = 8, 5
 _SLACK = 1e-3
 
 
@@ -89,9 +90,11 @@ def _postings(n: int, threshold: float, docs_of):
                 size = np.bincount(doc, minlength=len(tid))
                 first = np.cumsum(size) - size
                 place = np.arange(len(g)) - first[doc]
-                bits = np.zeros((len(tid), WORDS * 64), np.uint8)
-                np.bitwise_xor.at(bits, (doc, (_mixed(g) >> np.uint64(9)).astype(np.int64) % (WORDS * 64)), 1)
-                signature = np.packbits(bits, axis=1)
+                # parity of the grams from each place on: running parity over the batch, taken away from that at the text's end
+                bit = (_mixed(g) >> np.uint64(9)).astype(np.int64) % (WORDS * 64)
+                running = np.zeros((len(g) + 1, WORDS), np.uint64)
+                running[np.arange(1, len(g) + 1), bit >> 6] = np.uint64(1) << (bit & 63).astype(np.uint64)
+                np.bitwise_xor.accumulate(running, axis=0, out=running)
                 before = np.where(place > 0, np.concatenate([[-1], g[:-1]]), -1)
                 # a gram that no other text has joins nothing
                 keep = np.flatnonzero((place <= size[doc] - np.ceil(threshold * size[doc] - 1e-9)) & (count > 1))
@@ -101,6 +104,7 @@ def _postings(n: int, threshold: float, docs_of):
                 other = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
                 k, mine = keep[row], own[row]
                 d = doc[k]
+                signature = running[(first + size)[d]] ^ running[k]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(g[k]),
@@ -111,7 +115,7 @@ def _postings(n: int, threshold: float, docs_of):
                         pa.array(size[d].astype(np.int32)),
                         pa.array(place[k].astype(np.int32)),
                         pa.array(before[k]),
-                        pa.FixedSizeBinaryArray.from_buffers(pa.binary(WORDS * 8), len(d), [None, pa.py_buffer(np.ascontiguousarray(signature[d]))]).cast(pa.binary()),
+                        pa.FixedSizeBinaryArray.from_buffers(pa.binary(WORDS * 8), len(d), [None, pa.py_buffer(signature)]).cast(pa.binary()),
                     ],
                     names=["gram", "part_a", "part_b", "part", "tid", "size", "place", "before", "signature"],
                 )
@@ -131,8 +135,11 @@ class _Rows:
         # partner's size that the rest of this set can still reach the overlap for
         self.reach = ((self.size - col("place")) / ratio - self.size + _SLACK).astype(np.float32)
         joined = b"".join(t.column("signature").to_pylist())
-        self.signature = np.frombuffer(joined, np.uint64).reshape(-1, WORDS)
-        self.ratio = ratio
+        signature = np.frombuffer(joined, np.uint64).reshape(-1, WORDS)
+        self.heads = [np.ascontiguousarray(signature[:, w]) for w in range(HEAD)]
+        self.rest = np.ascontiguousarray(signature[:, HEAD:])
+        # a pair's sets may differ in the sum of its two shares from this gram on, if all before it differ
+        self.share = (self.size * (1 - 2 * ratio) - col("place") + _SLACK).astype(np.float32)
 
     def first_ok(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Pairs (as rows) that pass the length and positional filters, differ in the gram before, and belong to this part."""
@@ -141,13 +148,17 @@ class _Rows:
         return ok & ((self.part[i] != self.part[j]) | (self.a[i] == self.b[i])) & (self.tid[i] != self.tid[j])
 
     def close(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs whose parity signatures differ in no more bits than their sets may differ in grams."""
+        """The suffix filter. If this gram is the first that a pair shares, all grams before it differ; those from here on may differ in
+        no more than what is left. Their parity signatures differ in at most as many bits. (If it isn't the first, the pair is met there.)"""
         out_i, out_j = [i[:0]], [j[:0]]
-        for at in range(0, len(i), 1 << 18):
-            x, y = i[at : at + (1 << 18)], j[at : at + (1 << 18)]
-            total = self.size[x] + self.size[y]
-            allowed = total - 2 * np.ceil(self.ratio * total - _SLACK)
-            near = np.bitwise_count(self.signature[x] ^ self.signature[y]).sum(1) <= allowed
+        for at in range(0, len(i), 1 << 16):
+            x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            allowed, bits = self.share[x] + self.share[y], np.zeros(len(x), np.uint16)
+            for head in self.heads:
+                bits = bits + np.bitwise_count(head[x] ^ head[y])
+                near = np.flatnonzero(bits <= allowed)
+                x, y, allowed, bits = x[near], y[near], allowed[near], bits[near]
+            near = bits + np.bitwise_count(self.rest[x] ^ self.rest[y]).sum(1) <= allowed
             out_i.append(x[near])
             out_j.append(y[near])
         return np.concatenate(out_i), np.concatenate(out_j)
@@ -178,7 +189,9 @@ def _pairs_of(rows: _Rows) -> tuple[np.ndarray, np.ndarray]:
             ok &= (before[top, None] != before[None, at:]) | (before[top, None] < 0)
             if cross:
                 ok &= own[top, None] != own[None, at:]
-            i, j = np.nonzero(ok)
+            flat = np.flatnonzero(ok.ravel())
+            i = np.repeat(np.arange(len(ok)), np.count_nonzero(ok, axis=1))
+            j = flat - i * ok.shape[1]
             upper = j > i
             found.append(rows.close(i[upper] + (s + at), j[upper] + (s + at)))
     i = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
