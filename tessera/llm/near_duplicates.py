@@ -4,7 +4,7 @@ Grams are ordered rare first (by document counts in a table of fixed size; any o
 similarity t share a gram in their prefixes, so prefixes are joined gram by gram. A pair is taken up only where
 lengths and places leave room for the overlap it needs (length and positional filter), where the gram is not known to be
 the second shared one, and where a lower bound of the number of grams they differ in from there on allows it (suffix filter, by
-512-bit parity signatures of the suffixes in place of recursive probing). What is left is made distinct and verified once per pair.
+384-bit parity signatures of the suffixes in place of recursive probing). What is left is made distinct and verified once per pair.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ CHUNK = 4096
 #: Groups up to this size are joined together, offset by offset; larger ones row against column.
 SMALL = 64
 #: 64-bit words of a signature, and those that are compared first.
-WORDS, HEAD = 8, 5
+WORDS, HEAD = 6, 4
 _SLACK = 1e-3
 
 

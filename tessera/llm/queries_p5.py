@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.llm.lookalikes import canonical_texts
 from tessera.llm.near_duplicates import near_duplicates
 from tessera.llm.queries_p1 import form_sql
+from tessera.llm.splits import spanning_forest
 from tessera.session import cut, table
 
 #: Characters of a gram and least similarity, as the problem states them.
@@ -36,15 +37,30 @@ def p5_classes(spark: SparkSession, folder: str) -> DataFrame:
     return members.join(smallest, "tid").join(ends, "tid", "left").select("global_id", "class_id", F.coalesce("links", F.lit(0)).alias("links"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_classes": p5_classes}
-SQL = {
-    "p5_found": f"""WITH f AS (SELECT raw_prompt, {form_sql()} AS text FROM (SELECT DISTINCT raw_prompt FROM tasks WHERE raw_prompt IS NOT NULL)),
+def p5_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """The groups of prompt numbers that are similar, directly or through others: ``group_id`` (the smallest)``, global_id``; numbers alike to no other are left out."""
+    members, pairs = _classes(spark, folder)
+    named = cut(members.groupBy("tid").agg(F.min("global_id").alias("first")))
+    end = lambda s: named.select(F.col("tid").alias(f"tid_{s}"), F.col("first").alias("u" if s == "a" else "v"))
+    between = pairs.join(end("a"), "tid_a").join(end("b"), "tid_b").select("u", "v")
+    inside = members.join(named, "tid").select(F.col("first").alias("u"), F.col("global_id").alias("v"))
+    labels = spanning_forest(between.unionByName(inside).where("u <> v"))[0]
+    return labels.select(F.col("root").alias("group_id"), F.col("node").alias("global_id"))
+
+
+QUERIES = {"p5_found": p5_found, "p5_classes": p5_classes, "p5_groups": p5_groups}
+_PAIRS = f"""f AS (SELECT raw_prompt, {form_sql()} AS text FROM (SELECT DISTINCT raw_prompt FROM tasks WHERE raw_prompt IS NOT NULL)),
 c AS (SELECT text, row_number() OVER (ORDER BY text) AS tid FROM (SELECT DISTINCT text FROM f)),
 m AS (SELECT DISTINCT global_id, tid FROM tasks JOIN f USING (raw_prompt) JOIN c USING (text) WHERE global_id IS NOT NULL),
 g AS (SELECT DISTINCT tid, unnest(list_transform(range(1, length(text) - {N - 2}), lambda i: substr(text, i, {N}))) AS gram FROM c WHERE length(text) >= {N}),
 z AS (SELECT tid, count(*) AS size FROM g GROUP BY 1),
 o AS (SELECT a.tid AS x, b.tid AS y, count(*) AS n FROM g a JOIN g b ON a.gram = b.gram AND a.tid < b.tid GROUP BY 1, 2),
-p AS (SELECT x, y FROM o JOIN z a ON a.tid = x JOIN z b ON b.tid = y WHERE n >= {THRESHOLD} * (a.size + b.size - n) UNION ALL SELECT tid, tid FROM c)
-SELECT DISTINCT least(a.global_id, b.global_id) AS global_id_a, greatest(a.global_id, b.global_id) AS global_id_b
-FROM p JOIN m a ON a.tid = x JOIN m b ON b.tid = y WHERE a.global_id <> b.global_id""",
+p AS (SELECT x, y FROM o JOIN z a ON a.tid = x JOIN z b ON b.tid = y WHERE n >= {THRESHOLD} * (a.size + b.size - n) UNION ALL SELECT tid, tid FROM c),
+found AS MATERIALIZED (SELECT DISTINCT least(a.global_id, b.global_id) AS global_id_a, greatest(a.global_id, b.global_id) AS global_id_b FROM p JOIN m a ON a.tid = x JOIN m b ON b.tid = y WHERE a.global_id <> b.global_id)"""
+
+SQL = {
+    "p5_found": f"WITH {_PAIRS} SELECT * FROM found",
+    "p5_groups": f"""WITH RECURSIVE {_PAIRS}, e AS (SELECT global_id_a AS u, global_id_b AS v FROM found UNION SELECT global_id_b, global_id_a FROM found),
+r AS (SELECT u AS node, u AS seen FROM e UNION SELECT r.node, e.v FROM r JOIN e ON r.seen = e.u)
+SELECT min(seen) AS group_id, node AS global_id FROM r GROUP BY node""",
 }
