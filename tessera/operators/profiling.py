@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import percent, whole_mean
@@ -29,11 +29,24 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("rows"))
 
 
+#: Sizes of a bin of the first pass of the median: 2**20 bytes, so neither pass orders more than some million values of a group.
+BIN = 1 << 20
+
+
 def size_distribution(df: DataFrame, group: str, size: str) -> DataFrame:
-    """Per group ``files, mean_bytes`` (rounded down)``, median_bytes`` (the upper one)``, least_bytes, most_bytes``; null sizes are left out."""
-    known = df.where(F.col(size).isNotNull())
-    median = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{size}` DESC)").cast("bigint")
-    return known.groupBy(group).agg(F.count("*").alias("files"), whole_mean(F.sum(size), F.count("*")).alias("mean_bytes"), median.alias("median_bytes"), F.min(size).alias("least_bytes"), F.max(size).alias("most_bytes"))
+    """Per group ``files, mean_bytes`` (rounded down)``, median_bytes`` (the upper one)``, least_bytes, most_bytes``; null sizes are left out, a null group is one.
+
+    The median is exact: counts per bin tell the bin that holds it, counts per size within that bin tell the size; whole groups are never sorted or gathered."""
+    known = df.where(F.col(size).isNotNull()).select(F.col(group).alias("_g"), F.col(size).cast("bigint").alias("_s")).withColumn("_b", F.floor(F.col("_s") / BIN).cast("bigint"))
+    bins = known.groupBy("_g", "_b").agg(F.count("*").alias("n"), F.sum("_s").alias("total"), F.min("_s").alias("least"), F.max("_s").alias("most"))
+    sums = bins.groupBy("_g").agg(F.sum("n").alias("files"), F.sum("total").alias("total"), F.min("least").alias("least_bytes"), F.max("most").alias("most_bytes"))
+    upto = lambda order: F.sum("n").over(Window.partitionBy("_g").orderBy(order))
+    place = F.floor(F.col("files") / 2)  # counted from 0
+    middle = bins.withColumn("upto", upto("_b")).alias("x").join(sums.alias("y"), F.col("x._g").eqNullSafe(F.col("y._g"))).where((F.col("upto") > place) & (F.col("upto") - F.col("n") <= place))
+    middle = middle.select(F.col("x._g").alias("_g"), "_b", (place - (F.col("upto") - F.col("n"))).alias("left"), "files", F.col("y.total").alias("total"), "least_bytes", "most_bytes")
+    fine = known.alias("k").join(middle.alias("m"), F.col("k._g").eqNullSafe(F.col("m._g")) & (F.col("k._b") == F.col("m._b"))).groupBy("m._g", "_s", "left", "files", "total", "least_bytes", "most_bytes").agg(F.count("*").alias("n"))
+    found = fine.withColumn("upto", upto("_s")).where((F.col("upto") > F.col("left")) & (F.col("upto") - F.col("n") <= F.col("left")))
+    return found.select(F.col("_g").alias(group), "files", whole_mean(F.col("total"), F.col("files")).alias("mean_bytes"), F.col("_s").alias("median_bytes"), "least_bytes", "most_bytes")
 
 
 def status_counts(states: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.functions import pandas_udf
 
+from tessera.session import shuffle_partitions
+
 #: Bytes of the head that the ``head`` mode walks, and of a chunk when a whole file is read.
 HEAD, CHUNK = 4096, 8 << 20
 BOXES = "array<struct<btype: string, offset: bigint, size: bigint>>"
@@ -60,6 +62,12 @@ def _holds(f, what: bytes) -> bool:
     return False
 
 
+def spread(files: DataFrame) -> DataFrame:
+    """Paths over many tasks, as each stands for much reading; the number is explicit, so small rows aren't put together again."""
+    spark = files.sparkSession
+    return files.repartition(max(shuffle_partitions(spark), 4 * spark.sparkContext.defaultParallelism))
+
+
 def read_boxes(path: str, mode: str = "seek") -> list[dict]:
     """Boxes of one file; unreadable files have none. mode ``seek``: all top-level headers; ``head``: those in the first 4,096 bytes and, if ``moov`` is not among them, one of size -1 if its name occurs anywhere."""
     try:
@@ -84,7 +92,7 @@ def with_boxes(files: DataFrame, path: str = "path", mode: str = "seek") -> Data
             yield pa.RecordBatch.from_arrays([*b.columns, found], names=[*b.schema.names, "boxes"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(walk, f"{schema}, boxes {BOXES}")
+    return spread(kept).mapInArrow(walk, f"{schema}, boxes {BOXES}")
 
 
 def boxes_of(content, limit: int = HEAD):
@@ -115,7 +123,7 @@ def digests(files: DataFrame, path: str = "path") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(map(hashed, b.column(path).to_pylist()), pa.string())], names=[*b.schema.names, "sha256"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{schema}, sha256 string")
+    return spread(kept).mapInArrow(run, f"{schema}, sha256 string")
 
 
 def ffprobe(path: str, binary: str = "ffprobe", timeout: int = 30) -> dict:
@@ -140,7 +148,7 @@ def probed(files: DataFrame, probe: Callable[[str], dict] = ffprobe) -> DataFram
             text = lambda v: None if v is None else str(v)
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.string()), *[pa.array([text(d.get(n)) for _, d in rows], pa.string()) for n in names]], names=["task_id", *names])
 
-    return files.select("task_id", "path").mapInArrow(run, "task_id string, " + ", ".join(f"{n} string" for n in names))
+    return spread(files.select("task_id", "path")).mapInArrow(run, "task_id string, " + ", ".join(f"{n} string" for n in names))
 
 
 class _Archive(InputPartition):

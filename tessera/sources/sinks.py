@@ -39,9 +39,9 @@ def tasks_by_account(tasks: DataFrame, folder: str) -> None:
 
 
 def csv_table(df: DataFrame, path: str, fields: Sequence[str] | None = None, order: Sequence[str] = ()) -> None:
-    """A CSV with a header and the given fields; null and missing fields are blank, quotes are doubled. order: one ordered file, else a file per partition."""
+    """A CSV with a header and the given fields; null and missing fields are blank, quotes are doubled. order: range-sorted over the files, whose names are in order."""
     names = list(fields or df.columns)
-    placed = df.orderBy(*order).coalesce(1) if order else df
+    placed = df.orderBy(*order) if order else df
     placed = placed.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in names])
     placed.write.mode("overwrite").option("header", True).option("emptyValue", "").option("quote", '"').option("escape", '"').csv(path)
 
@@ -98,6 +98,8 @@ def copy_side_files(spark: SparkSession, source: str, target: str, names: Sequen
     return done
 
 
+#: Tasks that shards are written by at most; the number is explicit, so that the few small rows of a shard aren't put together with others.
+MOST_TASKS = 20_000
 INDEX = "shard string, num_videos int, size_bytes long, sha256 string, first_task_id string, last_task_id string"
 
 
@@ -160,7 +162,8 @@ def tar_shards(packed: DataFrame, folder: str, key: str = "task_id", path: str =
     from tessera.session import cut
 
     rows = packed.select("shard_no", F.col(key).alias("key"), F.col(path).alias("path"))
-    return cut(rows.repartition("shard_no").sortWithinPartitions("shard_no", "key").mapInArrow(write, INDEX))
+    shards = (packed.agg(F.max("shard_no")).first()[0] or 0) + 1
+    return cut(rows.repartition(min(shards, MOST_TASKS), "shard_no").sortWithinPartitions("shard_no", "key").mapInArrow(write, INDEX))
 
 
 def shard_index(spark: SparkSession, index: DataFrame, path: str) -> None:

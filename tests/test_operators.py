@@ -89,3 +89,41 @@ def test_reconcile(spark):
     assert {r["v"] for r in reconcile.refreshed(b, good, "k", ["v"]).collect()} == {"new"}
     with pytest.raises(reconcile.Mismatch, match="blank"):
         reconcile.refreshed(b, b, "k", ["v"])
+
+
+def test_size_distribution(spark):
+    import random
+
+    from tessera.operators.profiling import matrix, nested_counts, progress, size_distribution, value_counts
+
+    random.seed(4)
+    held = {g: [random.choice([0, 1, 5 << 20, random.randrange(1 << 33)]) for _ in range(n)] for g, n in (("a", 101), ("b", 100), ("c", 1), (None, 6))}
+    df = spark.createDataFrame([(g, s, "x") for g, v in held.items() for s in v] + [("a", None, "x"), ("z", None, "x")], "g string, n long, _s string").repartition(4)
+    got = {r["g"]: tuple(r)[1:] for r in size_distribution(df, "g", "n").collect()}
+    assert got == {g: (len(v), sum(v) // len(v), sorted(v)[len(v) // 2], min(v), max(v)) for g, v in held.items()}
+    assert size_distribution(df.limit(0), "g", "n").count() == 0
+    states = spark.createDataFrame([("1", "A", "done"), ("2", "A", None), ("3", "B", "odd"), ("4", None, "done")], "task_id string, account string, status string")
+    assert rows(matrix(states, "account", "status", ["done"], "other")) == [(None, 1, 0, 1), ("A", 1, 1, 2), ("B", 0, 1, 1)]
+    assert {r["account"]: r["counts"] for r in nested_counts(states, "account", "status").collect()} == {"A": {"done": 1, "?": 1}, "B": {"odd": 1}, "?": {"done": 1}}
+    assert rows(value_counts(states, "status")) == [("done", 2), ("odd", 1)]
+    assert tuple(progress(states, spark.range(6)).first()) == (6, 2, 4, 2, 33.3)
+    assert tuple(progress(states.limit(0), spark.range(0)).first()) == (0, 0, 0, 0, 0.0)
+
+
+def test_rules(spark):
+    from tessera.operators import rules
+    from tessera.plans.checks import project_violations
+
+    tasks = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), (None,)], "task_id string")
+    states = spark.createDataFrame([("a", "done"), ("b", None), ("x", "done")], "task_id string, status string")
+    media = spark.createDataFrame([("a", 5), ("b", 5000), ("y", None)], "task_id string, length long")
+    got = rows(project_violations(tasks, states, media, 10).select("rule_id", "subject"))
+    assert got == sorted([("duplicate_task", "a"), ("missing_state", "c"), ("missing_state", None), ("missing_video", "c"), ("missing_video", None), ("not_done", "b"), ("not_done", "c"), ("not_done", None), ("small_or_empty", "a"), ("extra_state", "x"), ("extra_video", "y")], key=lambda r: tuple((x is not None, x) for x in r))
+    assert project_violations(tasks.limit(0), states.limit(0), media.limit(0)).count() == 0
+    many = spark.range(100).selectExpr("'r' rule_id", "'error' severity", "lpad(id, 3, '0') subject", "'' detail")
+    s = rules.samples(many.unionByName(many), 3).first()
+    assert (s["violations"], list(s["subjects"])) == (200, ["000", "001", "002"])
+    assert tuple(rules.verdict(many.limit(0)).first()) == (True, 0, 0)
+    shape = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (None, 9)], "g int, k int")
+    assert rows(rules.group_shape(shape, "g", "g", 3, 2).select("subject")) == [("2",), ("groups",)]
+    assert rows(rules.key_domain(shape, "k", "k", [1, 2, 3], None).select("subject", "detail")) == [("3", "rows: 0"), ("9", "not in the domain")]
