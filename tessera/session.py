@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        named = os.path.join(tempfile.gettempdir(), "tessera-checkpoints")
+        named = tempfile.mkdtemp(prefix="tessera-checkpoints-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(named)
     return named
 
