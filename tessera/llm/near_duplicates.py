@@ -21,7 +21,7 @@ from tessera.session import cut, shuffle_partitions
 #: Buckets of the table of document counts, which is sent to all executors (8 bytes each).
 BUCKETS = 1 << 20
 #: Rows of one gram joined at once; a gram in more documents is split into parts that are joined pair by pair.
-CHUNK = 4096
+CHUNK = 8192
 #: Groups up to this size are joined together, offset by offset; larger ones row against column.
 SMALL = 64
 #: 64-bit words of a signature, and those that are compared first.
