@@ -12,6 +12,7 @@ import base64
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,14 +56,19 @@ class _Encoder:
         return len(self.encoding.encode_ordinary(text))
 
 
+@lru_cache(maxsize=1 << 17)
+def _class(word: str) -> int:
+    h = 0
+    for c in word:
+        h = (h * 31 + ord(c)) & 0xFFFFFFFF
+    return (h * 0x9E3779B1 & 0xFFFFFFFF) >> 28
+
+
 def _topic(text: str) -> int:
-    held = np.zeros(TOPICS, np.int64)
+    held = [0] * TOPICS
     for word, n in Counter(_LONG.findall(text.lower())).items():
-        h = 0
-        for c in word:
-            h = (h * 31 + ord(c)) & 0xFFFFFFFF
-        held[(h * 0x9E3779B1 & 0xFFFFFFFF) >> 28] += n
-    return int(held.argmax())
+        held[_class(word)] += n
+    return held.index(max(held))
 
 
 def _measure(vocabulary):
