@@ -28,13 +28,14 @@ def numbered(df: DataFrame, column: str = "ordinal") -> DataFrame:
     return part.join(held, "_part").withColumn(column, F.col("_place") + F.col("_shift")).drop("_part", "_place", "_shift")
 
 
-def last_wins(df: DataFrame, keys: Sequence[str], *order: str | Column) -> DataFrame:
+def last_wins(df: DataFrame, keys: Sequence[str], *order: str | Column, keep: Sequence[str] | None = None) -> DataFrame:
     """One row per key, the last in ``order`` (null first); a row whose order ties is chosen by its values. Null keys are a key.
 
-    The winner is aggregated, not sorted: what a hot key has many of is reduced before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
+    The winner is aggregated, not sorted: what a hot key has many of is reduced before the shuffle. keep: the columns wanted beside the keys (all),
+    so that no others are read."""
+    rest = [c for c in (df.columns if keep is None else keep) if c not in keys]
     rank = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in rest])
-    return df.groupBy(*keys).agg(F.max(rank).alias("_top")).select(*[F.col(c) if c in keys else F.col(f"_top.{c}").alias(c) for c in df.columns])
+    return df.groupBy(*keys).agg(F.max(rank).alias("_top")).select(*[F.col(c) if c in keys else F.col(f"_top.{c}").alias(c) for c in df.columns if c in keys or c in rest])
 
 
 def overlay(layers: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

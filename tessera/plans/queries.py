@@ -41,10 +41,14 @@ def _tasks(spark: SparkSession, folder: str) -> DataFrame:
 _TASKS = "t AS (SELECT * FROM tasks QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY loaded_at DESC NULLS LAST, withdrawn_at DESC NULLS LAST, raw_prompt DESC NULLS LAST) = 1)"
 
 
-def _states(spark: SparkSession, folder: str) -> DataFrame:
-    """The last report of every task, keyed by its id or else the file's stem."""
-    keyed = table(spark, folder, "state").withColumn("task_id", F.coalesce(F.nullif(F.col("task_id"), F.lit("")), F.col("file_stem")))
-    return keys.last_wins(keyed, ["task_id"], "loaded_at", "status", "output_path", "started_at", "completed_at", "retries")
+def _state_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "state").select("loaded_at", "status", "output_path", "started_at", "completed_at", "retries", "video_id", "repaired_at", F.coalesce(F.nullif(F.col("task_id"), F.lit("")), F.col("file_stem")).alias("task_id"))
+
+
+def _states(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
+    """The last report of every task, keyed by its id or else the file's stem; keep: the columns wanted."""
+    order = ("loaded_at", "status", "output_path", "started_at", "completed_at", "retries")
+    return keys.last_wins(_state_keys(spark, folder), ["task_id"], *order, keep=keep)
 
 
 _STATES = """s AS (SELECT * REPLACE (coalesce(nullif(task_id, ''), file_stem) AS task_id) FROM state
@@ -59,8 +63,8 @@ def _media(spark: SparkSession, folder: str) -> DataFrame:
 _MEDIA = "m AS (SELECT task_id, max(path) AS path, max(length) AS length FROM media WHERE removed_at IS NULL AND task_id IS NOT NULL GROUP BY 1)"
 
 
-def _metadata(spark: SparkSession, folder: str) -> DataFrame:
-    return keys.last_wins(table(spark, folder, "metadata"), ["task_id"], "file_size", "sha256")
+def _metadata(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
+    return keys.last_wins(table(spark, folder, "metadata"), ["task_id"], "file_size", "sha256", keep=keep)
 
 
 _META = "md AS (SELECT * FROM metadata QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY file_size DESC NULLS LAST, sha256 DESC NULLS LAST) = 1)"
@@ -125,12 +129,12 @@ def int_filter(spark, folder):
 
 @query("SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def latest_per_key(spark, folder):
-    return keys.last_wins(table(spark, folder, "events"), ["user_id"], "ts", "event_id").select("user_id", "event_id", "event_type", "value")
+    return keys.last_wins(table(spark, folder, "events"), ["user_id"], "ts", "event_id", keep=["event_id", "event_type", "value"])
 
 
 @query(f"WITH {_STATES} SELECT task_id, status, video_id, retries FROM s")
 def last_reports(spark, folder):
-    return _states(spark, folder).select("task_id", "status", "video_id", "retries")
+    return _states(spark, folder, "status", "video_id", "retries")
 
 
 _STAGES = """g AS (SELECT task_id, CASE WHEN task_id IN (SELECT task_id FROM tasks WHERE withdrawn_at IS NOT NULL) THEN 'policy16_prompt_rewrite' ELSE 'rerun_99' END AS stage
@@ -138,19 +142,19 @@ _STAGES = """g AS (SELECT task_id, CASE WHEN task_id IN (SELECT task_id FROM tas
 
 
 def _stages(spark, folder):
-    return release.repair_stages(table(spark, folder, "tasks").where("withdrawn_at IS NOT NULL").select("task_id"), _states(spark, folder).where("retries > 1").select("task_id"))
+    return release.repair_stages(table(spark, folder, "tasks").where("withdrawn_at IS NOT NULL").select("task_id"), _states(spark, folder, "retries").where("retries > 1").select("task_id"))
 
 
 @query(f"""WITH {_TASKS}, {_STATES}, {_STAGES}
 SELECT t.task_id, coalesce(stage, CASE WHEN coalesce(repaired_at, '') <> '' THEN 'state_repair' END, 'initial') AS repair_stage FROM t LEFT JOIN s USING (task_id) LEFT JOIN g USING (task_id)""")
 def overlay_precedence(spark, folder):
-    df = _tasks(spark, folder).select("task_id").join(_states(spark, folder).select("task_id", "repaired_at"), "task_id", "left").join(_stages(spark, folder), "task_id", "left")
+    df = table(spark, folder, "tasks").select("task_id").distinct().join(_states(spark, folder, "repaired_at"), "task_id", "left").join(_stages(spark, folder), "task_id", "left")
     return df.select("task_id", release.stage_of(F.col("stage"), F.col("repaired_at")).alias("repair_stage"))
 
 
 def _cache(spark, folder):
     """Measured values of files that were probed, as a probe cache has them."""
-    probed = _metadata(spark, folder).where("media_metadata_source = 'ffprobe_cache'")
+    probed = _metadata(spark, folder, "actual_width", "actual_height", "actual_frame_rate", "actual_duration_seconds", "actual_num_frames", "media_metadata_source").where("media_metadata_source = 'ffprobe_cache'")
     return probed.select("task_id", F.col("actual_width").alias("width"), F.col("actual_height").alias("height"), F.col("actual_frame_rate").alias("frame_rate"), F.col("actual_duration_seconds").alias("duration_seconds"), F.col("actual_num_frames").alias("num_frames"))
 
 
@@ -178,10 +182,10 @@ SELECT t.task_id, coalesce(nullif(t.account, ''), split_part(t.task_id, '_', 1))
 FROM t LEFT JOIN s USING (task_id) LEFT JOIN f USING (task_id) LEFT JOIN v USING (task_id) LEFT JOIN g USING (task_id)""")
 def metadata_projection(spark, folder):
     made = _tasks(spark, folder)
-    held = release.reused_digests(_media(spark, folder), _metadata(spark, folder).select("task_id", "file_size", "sha256"), None)
+    held = release.reused_digests(_media(spark, folder), _metadata(spark, folder, "file_size", "sha256"), None)
     config = release.Config("model", "api", lambda c: text.enhance(c, TOKENS, PREFIX, SUFFIX, NEGATIVE))
     values = release.measured(made, _cache(spark, folder), None, table(spark, folder, "profiles"))
-    return release.metadata(made, _states(spark, folder), held, values, _stages(spark, folder), config)
+    return release.metadata(made, _states(spark, folder, "status", "video_id", "started_at", "completed_at", "repaired_at", "retries"), held, values, _stages(spark, folder), config)
 
 
 @query("""WITH x AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN concat(o_orderkey % 97, '/', o_orderkey % 7) WHEN 1 THEN concat(o_orderkey, '000/1001') WHEN 2 THEN concat(o_orderkey % 61, '.5') WHEN 3 THEN 'N/A' ELSE '' END AS raw FROM orders)
@@ -207,7 +211,7 @@ def size_literal(spark, folder):
 
 @query(f"WITH {_MEDIA}, {_META} SELECT m.task_id, coalesce(md.file_size = m.length AND length(md.sha256) = 64, false) AS reused, CASE WHEN md.file_size = m.length AND length(md.sha256) = 64 THEN md.sha256 END AS sha256 FROM m LEFT JOIN md USING (task_id)")
 def checksum_reuse(spark, folder):
-    return release.reused_digests(_media(spark, folder), _metadata(spark, folder).select("task_id", "file_size", "sha256"), None).select("task_id", "reused", "sha256")
+    return release.reused_digests(_media(spark, folder), _metadata(spark, folder, "file_size", "sha256"), None).select("task_id", "reused", "sha256")
 
 
 @query("SELECT doc_id, sha256(text) AS sha256 FROM documents")
@@ -216,13 +220,13 @@ def document_digests(spark, folder):
 
 
 @query("""WITH first AS (SELECT global_id, prompt_id, category, prompt_zh FROM (SELECT global_id, shot_id AS prompt_id, category, prompt_zh, row_number() OVER (PARTITION BY global_id ORDER BY task_id) AS r FROM md0) WHERE r = 1),
-g AS (SELECT global_id, to_json(list_sort(list(DISTINCT prompt_zh) FILTER (prompt_zh IS NOT NULL)))::VARCHAR AS prompt_variants_json, count(DISTINCT prompt_zh)::INT AS prompt_variant_count, to_json(list_sort(list(DISTINCT task_id)))::VARCHAR AS task_ids_json FROM md0 GROUP BY 1),
+g AS (SELECT global_id, coalesce(to_json(list_sort(list(DISTINCT prompt_zh) FILTER (prompt_zh IS NOT NULL)))::VARCHAR, '[]') AS prompt_variants_json, count(DISTINCT prompt_zh)::INT AS prompt_variant_count, to_json(list_sort(list(DISTINCT task_id)))::VARCHAR AS task_ids_json FROM md0 GROUP BY 1),
 o AS (SELECT global_id, max(raw_prompt) AS prompt FROM tasks WHERE withdrawn_at IS NOT NULL AND raw_prompt <> '' AND global_id IS NOT NULL GROUP BY 1)
 SELECT f.global_id, f.global_id AS prompt_id, f.prompt_id AS shot_id, f.category, coalesce(o.prompt, f.prompt_zh) AS prompt_zh, o.prompt IS NOT NULL AS was_policy_rewritten, prompt_variant_count, prompt_variants_json, task_ids_json
 FROM first f JOIN g USING (global_id) LEFT JOIN o USING (global_id)""".replace("WITH first", f"WITH {_META}, md0 AS (SELECT * FROM md WHERE global_id IS NOT NULL), first"))
 def prompt_groups(spark, folder):
     replaced = table(spark, folder, "tasks").where("withdrawn_at IS NOT NULL AND raw_prompt <> '' AND global_id IS NOT NULL").groupBy("global_id").agg(F.max("raw_prompt").alias("prompt"))
-    return release.prompt_table(_metadata(spark, folder), replaced)
+    return release.prompt_table(_metadata(spark, folder, "global_id", "shot_id", "category", "prompt_zh"), replaced)
 
 
 @query("SELECT global_id, count(DISTINCT raw_prompt) AS texts FROM tasks WHERE global_id IS NOT NULL AND raw_prompt <> '' GROUP BY 1 HAVING count(DISTINCT raw_prompt) > 1")
@@ -233,12 +237,12 @@ def override_conflicts(spark, folder):
 
 @query(f"WITH {_STATES} SELECT DISTINCT task_id FROM tasks ANTI JOIN s USING (task_id)")
 def missing_state(spark, folder):
-    return reconcile.only_left(table(spark, folder, "tasks").select("task_id").distinct(), _states(spark, folder), ["task_id"])
+    return reconcile.only_left(table(spark, folder, "tasks").select("task_id").distinct(), _state_keys(spark, folder).select("task_id"), ["task_id"])
 
 
 @query(f"WITH {_STATES} SELECT task_id FROM s ANTI JOIN tasks USING (task_id)")
 def extra_state(spark, folder):
-    return reconcile.only_left(_states(spark, folder).select("task_id"), table(spark, folder, "tasks"), ["task_id"])
+    return reconcile.only_left(_state_keys(spark, folder).select("task_id").distinct(), table(spark, folder, "tasks"), ["task_id"])
 
 
 @query("SELECT task_id FROM tasks EXCEPT SELECT task_id FROM media WHERE removed_at IS NULL")
@@ -259,7 +263,7 @@ def presence_report(spark, folder):
 
 @query(f"WITH {_STATES} SELECT DISTINCT task_id, coalesce(status, '?') AS status FROM (SELECT DISTINCT task_id FROM tasks) LEFT JOIN s USING (task_id) WHERE status IS DISTINCT FROM 'done'")
 def not_done(spark, folder):
-    held = table(spark, folder, "tasks").select("task_id").distinct().join(_states(spark, folder).select("task_id", "status"), "task_id", "left")
+    held = table(spark, folder, "tasks").select("task_id").distinct().join(_states(spark, folder, "status"), "task_id", "left")
     return held.where(~F.col("status").eqNullSafe("done")).select("task_id", F.coalesce("status", F.lit("?")).alias("status"))
 
 
@@ -299,12 +303,12 @@ def status_counts(spark, folder):
 @query(f"""WITH {_STATES} SELECT split_part(task_id, '_', 1) AS account, count(*) FILTER (status = 'done') AS done, count(*) FILTER (status = 'running') AS running, count(*) FILTER (status = 'failed') AS failed,
 count(*) FILTER (status = 'permanent_failed') AS permanent_failed, count(*) FILTER (coalesce(status, '') NOT IN ('done', 'running', 'failed', 'permanent_failed')) AS other, count(*) AS total FROM s GROUP BY 1""")
 def status_matrix(spark, folder):
-    return profiling.matrix(_states(spark, folder).withColumn("account", scalars.first_part(F.col("task_id"))), "account", "status", ["done", "running", "failed", "permanent_failed"], "other")
+    return profiling.matrix(_states(spark, folder, "status").withColumn("account", scalars.first_part(F.col("task_id"))), "account", "status", ["done", "running", "failed", "permanent_failed"], "other")
 
 
 @query(f"WITH {_STATES}, n AS (SELECT count(DISTINCT task_id) AS planned FROM tasks) SELECT planned AS expected, count(*) FILTER (status = 'done') AS done, count(*) AS touched, greatest(0, planned - count(*)) AS untouched, round(count(*) FILTER (status = 'done') / planned * 100, 1) AS percent_done FROM s, n GROUP BY planned")
 def progress(spark, folder):
-    return profiling.progress(_states(spark, folder), table(spark, folder, "tasks").select("task_id").distinct())
+    return profiling.progress(_states(spark, folder, "status"), table(spark, folder, "tasks").select("task_id").distinct())
 
 
 @query("SELECT account, string_agg(resolution || '=' || n, ',' ORDER BY resolution) AS counts FROM (SELECT coalesce(account, '?') AS account, coalesce(resolution, '?') AS resolution, count(*) AS n FROM tasks GROUP BY 1, 2) GROUP BY 1")
@@ -337,7 +341,7 @@ def size_stats(spark, folder):
 
 
 def _packed(spark, folder):
-    return packing.next_fit(_metadata(spark, folder).select("task_id", "file_size"), ["task_id"], "file_size", CAPACITY)
+    return packing.next_fit(_metadata(spark, folder, "file_size"), ["task_id"], "file_size", CAPACITY)
 
 
 _PLAN = f"""RECURSIVE {_META}, o AS MATERIALIZED (SELECT task_id, file_size, coalesce(file_size, 0) AS size, row_number() OVER (ORDER BY task_id) AS rn FROM md),
@@ -357,7 +361,7 @@ def shard_index(spark, folder):
 
 @query(f"WITH {_PLAN} SELECT task_id, 'videos/' || task_id || '.mp4' AS file_name, printf('shards/train-%05d.tar', shard_no) AS shard, w.file_size FROM w")
 def location_refresh(spark, folder):
-    source = _metadata(spark, folder).select("task_id", "file_name", "shard", "file_size")
+    source = _metadata(spark, folder, "file_name", "shard", "file_size")
     packed = cut(_packed(spark, folder))
     staged = packed.select("task_id", F.concat(F.lit("videos/"), "task_id", F.lit(".mp4")).alias("file_name"), scalars.shard_name(F.col("shard_no")).alias("shard"))
     return reconcile.refreshed(source, staged, "task_id", ["file_name", "shard"])
@@ -381,7 +385,7 @@ def checksum_manifest(spark, folder):
 @query(f"""WITH {_META}, c AS (SELECT file_name, arg_max(coalesce(sha256, ''), line_no) AS sha256 FROM checksums GROUP BY 1), a AS (SELECT file_name, max(coalesce(sha256, '')) AS sha256 FROM md GROUP BY 1)
 SELECT 'checksums' AS rule_id, 'error' AS severity, coalesce(a.file_name, c.file_name) AS subject, coalesce(a.sha256, 'null') || ' / ' || coalesce(c.sha256, 'null') AS detail FROM a FULL JOIN c ON a.file_name = c.file_name WHERE a.sha256 IS DISTINCT FROM c.sha256""")
 def manifest_matches(spark, folder):
-    md = _metadata(spark, folder).groupBy("file_name").agg(F.max(F.coalesce("sha256", F.lit(""))).alias("sha256"))
+    md = _metadata(spark, folder, "file_name", "sha256").groupBy("file_name").agg(F.max(F.coalesce("sha256", F.lit(""))).alias("sha256"))
     said = table(spark, folder, "checksums").groupBy("file_name").agg(F.max_by(F.coalesce("sha256", F.lit("")), "line_no").alias("sha256"))
     return rules.same_values(md, said, "checksums", "file_name", "sha256")
 
@@ -398,7 +402,7 @@ UNION ALL SELECT 'extra_video', 'warn', task_id, 'video of no task' FROM m ANTI
 
 @query(f"{_RULES} SELECT * FROM v")
 def rule_violations(spark, folder):
-    return checks.project_violations(table(spark, folder, "tasks"), _states(spark, folder), _media(spark, folder))
+    return checks.project_violations(table(spark, folder, "tasks"), _states(spark, folder, "status"), _media(spark, folder))
 
 
 @query(f"{_RULES} SELECT count(*) FILTER (severity = 'error') = 0 AS ok, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warn') AS warnings FROM v")
@@ -441,7 +445,7 @@ def stats_rows(spark, folder):
 @query(r"""SELECT task_id, output_path FROM (SELECT *, nullif(regexp_extract(trim(output_path), '[^/\\]*$'), '') AS leaf FROM s WHERE status = 'done') x
 WHERE NOT EXISTS (SELECT 1 FROM media WHERE nullif(regexp_extract(trim(path), '[^/\\]*$'), '') = x.leaf)""".replace("SELECT task_id", f"WITH {_STATES} SELECT task_id", 1))
 def outputs_missing(spark, folder):
-    return checks.outputs_missing(_states(spark, folder), table(spark, folder, "media"))
+    return checks.outputs_missing(_states(spark, folder, "status", "output_path"), table(spark, folder, "media"))
 
 
 @query("SELECT count(*) AS rows, count(DISTINCT global_id) AS prompts, count(*) FILTER (media_metadata_source = 'ffprobe_cache') AS probed_rows, round(sum(file_size) / 1073741824.0, 3) AS gib FROM metadata")
