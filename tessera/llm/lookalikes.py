@@ -276,11 +276,12 @@ def canonical_texts(df: DataFrame, column: str, budget: int = 0) -> DataFrame:
 
 def lookalike_pairs(df: DataFrame, key: str, column: str) -> DataFrame:
     """``<key>_a, <key>_b``: two keys (a < b) with a row each whose texts look the same but aren't the same string."""
-    forms = cut(canonical_texts(df, column))
-    several = forms.groupBy("canonical").agg(F.count("*").alias("n")).where("n > 1").select("canonical")
-    spelt = forms.join(several, "canonical").select("text", F.sha2("canonical", 256).alias("form"), F.sha2("text", 256).alias("spelling"))
-    rows = df.select(F.col(key).alias("k"), F.col(column).alias("text")).where("k IS NOT NULL").join(spelt, "text").select("k", "form", "spelling").distinct()
-    rows = cut(rows)
+    digest = lambda c: F.unhex(F.sha2(F.col(c), 256))
+    # from here on texts are their digests: only the search for distinct texts moves texts themselves
+    forms = cut(canonical_texts(df, column).select(digest("text").alias("spelling"), digest("canonical").alias("form")))
+    several = forms.groupBy("form").agg(F.count("*").alias("n")).where("n > 1").select("form")
+    spelt = forms.join(several, "form")
+    rows = cut(df.where(F.col(key).isNotNull() & F.col(column).isNotNull()).select(F.col(key).alias("k"), digest(column).alias("spelling")).join(spelt, "spelling").select("k", "form", "spelling").distinct())
     a, b = rows.alias("a"), rows.alias("b")
     pairs = a.join(b, (F.col("a.form") == F.col("b.form")) & (F.col("a.k") < F.col("b.k")) & (F.col("a.spelling") != F.col("b.spelling")))
     return pairs.select(F.col("a.k").alias(f"{key}_a"), F.col("b.k").alias(f"{key}_b")).distinct()

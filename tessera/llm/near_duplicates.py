@@ -275,14 +275,13 @@ def near_duplicates(df: DataFrame, id_column: str, text_column: str, n: int, thr
     left out; a text shorter than n is equal to itself only; an id may belong to several classes; repeated rows count once; other
     columns are ignored; an empty table gives two empty ones.
     """
-    rows = df.select(F.col(id_column).alias("_id"), F.col(text_column).alias("text")).where("_id IS NOT NULL AND text IS NOT NULL").distinct()
-    if form is not None:
-        forms = cut(form(rows, "text"))
-        classes = cut(forms.select("canonical").distinct().select(F.monotonically_increasing_id().alias("tid"), F.col("canonical").alias("text")))
-        named = forms.join(classes.withColumnRenamed("text", "canonical"), "canonical").select("text", "tid")
-        members = rows.join(named, "text")
-    else:
-        classes = cut(rows.select("text").distinct().select(F.monotonically_increasing_id().alias("tid"), "text"))
-        members = rows.join(classes, "text")
+    digest = lambda c: F.unhex(F.sha2(F.col(c), 256))
+    rows = df.select(F.col(id_column).alias("_id"), F.col(text_column).alias("text")).where("_id IS NOT NULL AND text IS NOT NULL")
+    members = rows.select("_id", digest("text").alias("_text")).distinct()
+    forms = cut(form(rows, "text").select(digest("text").alias("_text"), "canonical") if form is not None else rows.select("text").distinct().select(digest("text").alias("_text"), F.col("text").alias("canonical")))
+    # texts move once more, to be made distinct in their form; ids meet them by digests
+    classes = cut(forms.select("canonical").distinct().select(F.monotonically_increasing_id().alias("tid"), F.col("canonical").alias("text")))
+    numbers = classes.select("tid", digest("text").alias("_form"))
+    members = members.join(forms.select("_text", digest("canonical").alias("_form")), "_text").join(numbers, "_form")
     members = members.select(F.col("_id").alias(id_column), "tid").distinct()
     return members, similar_texts(classes, n, threshold)
