@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera import schemas
 from tessera.operators.keys import last_wins, numbered, unique
+from tessera.session import ship
 
 
 def _path(spark: SparkSession, path: str):
@@ -162,6 +163,7 @@ def listing(spark: SparkSession, folders: list[str], ending: str) -> DataFrame:
                     part = found[k : k + 10_000]
                     yield pa.RecordBatch.from_arrays([pa.array([scheme + f.path for f in part]), pa.array([f.size for f in part], pa.int64())], names=["path", "length"])
 
+    ship(spark)
     return spark.createDataFrame([(f,) for f in folders], "folder string").repartition(max(1, len(folders))).mapInArrow(walk, "path string, length long")
 
 
