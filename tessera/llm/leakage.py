@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import ship
+
 #: Characters of a q-gram, edits allowed in a leaked stretch, and the words such a stretch has at least.
 Q, EDITS, WORDS = 16, 1, 12
 #: Diagonals by which one band begins after the other; a band has twice as many.
@@ -233,6 +235,7 @@ def leaked_items(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame,
     together; other columns are ignored; an empty table on either side gives no rows.
     """
     spark = docs.sparkSession
+    ship(spark)
     kind = docs.schema[doc_id].dataType.simpleString()
     wanted = items.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
     total = wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import cut
+from tessera.session import cut, ship
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern that splits text before the merges of that vocabulary.
@@ -88,6 +88,7 @@ def _measure(vocabulary):
 
 def measured(docs: DataFrame, id_column: str, text: str, source: str, lang: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """``id, source, lang, topic, tokens`` of every document: source in one spelling, size in tokens of the public tokenizer whose file is ``vocabulary``."""
+    ship(docs.sparkSession)
     with open(vocabulary, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     kind = docs.schema[id_column].dataType.simpleString()
