@@ -1,5 +1,7 @@
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from tessera.operators.differences import differences, digest_copy
 from tessera.operators.orphans import orphan_references, state_references
 
@@ -69,3 +71,11 @@ def test_digest_copy(spark):
     df = spark.createDataFrame([("*videos\\A.mp4\r", " AB "), ("./videos/A.mp4", "ab"), ("videos/A.mp4 ", None), (None, "x"), ("", "x")], "file_name string, sha256 string")
     assert rows(digest_copy(df).where("task_id is not null")) == [("videos/A.mp4", "", "A"), ("videos/A.mp4", "ab", "A"), ("videos/A.mp4", "ab", "A")]
     assert digest_copy(df).where("task_id is null").count() == 2
+
+
+def test_differences_hot_key_and_long_values(spark):
+    hot = spark.range(6000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) k", "if(id % 3 = 0, concat('v', id), 'same') a", "id n")
+    long = spark.createDataFrame([("long", "x" * 100_000, 1), ("", "e", 1)], "k string, a string, n long")
+    left, right = hot.unionByName(long), hot.where("k <> 'k1'").unionByName(long.withColumn("a", F.concat("a", "k")))
+    got = rows(differences(left, right, "k", ["a"], "l", "r", "n", "n"))
+    assert got == [("k1", "only_l"), ("long", "a")]
