@@ -57,3 +57,9 @@ def test_pairs(spark):
     df = spark.createDataFrame([(*r, "x") for r in rows], "task_id string, raw_prompt string, form string")
     got = sorted(tuple(r) for r in lookalike_pairs(df, "task_id", "raw_prompt").collect())
     assert got == [("t1", "t2"), ("t2", "t3")]
+
+
+def test_hot_text(spark):
+    df = spark.range(3000).selectExpr("concat('t', lpad(id, 5, '0')) task_id", "case when id % 3 = 0 then 'one hot text' when id = 1 then 'one hоt text' else concat('text ', id) end raw_prompt")
+    pairs = lookalike_pairs(df, "task_id", "raw_prompt")
+    assert pairs.count() == 1000 and pairs.where("task_id_a = 't00001' or task_id_b = 't00001'").count() == 1000

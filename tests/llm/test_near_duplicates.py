@@ -71,3 +71,10 @@ def test_frame(spark):
     assert sorted(linked) == [(1, 3), (8, 9)]
     members, pairs = near_duplicates(df.limit(0), "g", "p", 3, 0.65)
     assert members.count() == pairs.count() == 0
+
+
+def test_hot_copies(spark):
+    df = spark.range(1500).selectExpr("cast(id as int) g", "if(id % 3 = 0, 'a text that many rows share', concat('row of its own ', sha1(cast(id as string)))) p")
+    members, pairs = near_duplicates(df.unionByName(spark.createDataFrame([(9999, "a text that many rows shared")], "g int, p string")), "g", "p", 3, 0.65)
+    assert members.count() == 1501 and members.select("tid").distinct().count() == 1002
+    assert pairs.count() == 1
