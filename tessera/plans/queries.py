@@ -379,7 +379,7 @@ def shard_members_diff(spark, folder):
 @query("SELECT split_part(line, '  ', 1) AS sha256, substr(line, strpos(line, '  ') + 2) AS file_name FROM (SELECT coalesce(sha256, '') || '  ' || coalesce(file_name, '') AS line FROM checksums) WHERE strpos(line, chr(13)) = 0")
 def checksum_manifest(spark, folder):
     line = F.concat(F.coalesce("sha256", F.lit("")), F.lit("  "), F.coalesce("file_name", F.lit("")))
-    return files.manifest_lines(table(spark, folder, "checksums").select(line.alias("value")).where(~F.contains("value", F.lit("\r"))))
+    return files.manifest_lines(table(spark, folder, "checksums").select(line.alias("value")))
 
 
 @query(f"""WITH {_META}, c AS (SELECT file_name, arg_max(coalesce(sha256, ''), line_no) AS sha256 FROM checksums GROUP BY 1), a AS (SELECT file_name, max(coalesce(sha256, '')) AS sha256 FROM md GROUP BY 1)

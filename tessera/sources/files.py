@@ -180,7 +180,8 @@ def checksum_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    pattern = "^(.*?)  (.*)$"
+    """``file_name, sha256`` of rows that hold a line each. Line-end characters at a line's end belong to neither (a file may end its lines with CR LF); elsewhere in it they are data."""
+    pattern = r"(?s)^(.*?)  (.*?)[\r\n]*\z"
     return lines.where(F.rlike(F.col(column), F.lit(pattern))).select(F.regexp_extract(column, pattern, 2).alias("file_name"), F.regexp_extract(column, pattern, 1).alias("sha256"))
 
 
