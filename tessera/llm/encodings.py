@@ -28,6 +28,9 @@ CYRILLIC = (("cp1251", "cp1252"), ("koi8-r", "cp1252"), ("koi8-r", "cp1251"), ("
 BIGRAMS = "ст но то на ен ов ни ра во ко по не ро пр го ал ре ел ос ли та ва де ка ло ер ть ол ор ле ла ет те ог ом ес ат од ан из об ны ти ия ий"
 # Quotes, dashes and blanks that may follow a letter in correct text, and letters or signs that may follow the garbled lead.
 MAY_FOLLOW = set("\xa0\xad«»“”„‘’‚‹›–—…•") | set("ёЁπ∑∫∂Ω∞")
+# Chinese marks that tell restored text; what a change between correct and garbled words must gain in letter pairs.
+MARKS = "，。、：“”"
+TURN = 2
 HOMOGLYPHS = set("аеорсухіјѕАВЕКМНОРСТХІЈЅ")
 
 LOST = "�"
@@ -190,28 +193,110 @@ def _russian(text: str) -> int:
     return sum(map(low.count, _BIGRAM_LIST))
 
 
-def _cyrillic(line: str, true: str, read: str, plain: int) -> Mended:
-    """Words of the garbled script that become Russian by the pair. plain: how Russian the line is as it stands."""
+@lru_cache(maxsize=1 << 16)
+def _gain(word: str, true: str, read: str) -> int:
+    """How much more Russian a word is put back than as it stands."""
+    back, long = restored(word, true, read), len(word) >= 3
+    if back is None or not _CYRILLIC_RUN.fullmatch(back):
+        return -long
+    stands = 0 if read == "cp1252" else _russian(word) - (long and not _natural_case(word))
+    return _russian(back) - (long and not _natural_case(back)) - stands
+
+
+def _garbled_runs(line: str, script: re.Pattern, true: str, read: str) -> list[tuple[int, int]]:
+    """Spans of neighbouring words that read better put back than as they stand: two states, and changing between them costs ``TURN``."""
+    words = [m.span() for m in script.finditer(line)]
+    gains = []
+    for b, e in words:
+        within_latin = read == "cp1252" and ((b and line[b - 1] in _ASCII) or (e < len(line) and line[e] in _ASCII))
+        gains.append(-1 if within_latin else _gain(line[b:e], true, read))
+    if not any(g > 0 for g in gains):
+        return []
+    correct, wrong, steps = 0, 0, []
+    for gain in gains:
+        steps.append((wrong - TURN > correct, correct - TURN > wrong))
+        correct, wrong = max(correct, wrong - TURN), max(wrong, correct - TURN) + gain
+    spans: list[tuple[int, int]] = []
+    state, joined = wrong > correct, False
+    for (b, e), (from_wrong, from_correct) in zip(reversed(words), reversed(steps), strict=True):
+        if state:
+            spans[-1:] = [(b, spans[-1][1])] if joined else [*spans[-1:], (b, e)]
+        joined, state = state, not from_correct if state else from_wrong
+        joined = joined and state
+    return spans[::-1]
+
+
+def _cyrillic(line: str, true: str, read: str) -> Mended:
+    """Words of the garbled script that become Russian by the pair; each run of them is judged by itself."""
     word, script = (_ACCENTED_WORD, _ACCENTED) if read == "cp1252" else (_CYRILLIC_WORD, _CYRILLIC_RUN)
-    before = word.findall(line)
-    letters = sum(map(len, before))
-    if letters < 5 or (read != "cp1252" and plain >= 0.2 * letters):
-        return None
-    kept = [a for w in before if (a := restored(w, true, read)) and _CYRILLIC_RUN.fullmatch(a)]
-    if not kept or sum(map(len, kept)) < 0.7 * letters:
-        return None
-    found = _russian(" ".join(kept))
-    if sum(map(_natural_case, kept)) < 0.8 * len(kept) or found < 0.15 * letters or (read != "cp1252" and found <= 2 * plain):
-        return None
-    return _replace(line, [m.span() for m in script.finditer(line)], true, read)
+    good = []
+    for b, e in _garbled_runs(line, script, true, read):
+        before = word.findall(line[b:e])
+        letters, plain = sum(map(len, before)), _russian(line[b:e])
+        if letters < 5 or (read != "cp1252" and plain >= 0.2 * letters):
+            continue
+        kept = [a for w in before if (a := restored(w, true, read)) and _CYRILLIC_RUN.fullmatch(a)]
+        if not kept or sum(map(len, kept)) < 0.7 * letters:
+            continue
+        found = _russian(" ".join(kept))
+        if sum(map(_natural_case, kept)) < 0.8 * len(kept) or found < 0.15 * letters or (read != "cp1252" and found <= 2 * plain):
+            continue
+        good += [(b + m.start(), b + m.end()) for m in script.finditer(line[b:e])]
+    return _replace(line, good, true, read)
+
+
+@lru_cache(maxsize=1)
+def _gbk_chain() -> re.Pattern:
+    """Characters that UTF-8 turns into when read as GB18030, one after the other: a character of two bytes holds the first two of three bytes
+    (lead), the last and the next first (turn), or the last two (rest); lost bytes may stand for any of them. ASCII joins them."""
+    by: dict[str, list[str]] = defaultdict(list)
+    following = {0xE2: range(0x80, 0xA0), 0xE3: range(0x80, 0x84), **{b: range(0x80, 0xC0) for b in range(0xE4, 0xEA)}, 0xEF: range(0xBC, 0xBE)}
+    for hi in range(0x81, 0xFF):
+        for lo in range(0x40, 0xFF):
+            c = bytes([hi, lo]).decode("gb18030", "ignore")
+            if len(c) != 1:
+                continue
+            if lo in following.get(hi, ()):
+                by["lead"].append(c)
+            elif hi < 0xC0 and lo in following:
+                by["turn"].append(c)
+            elif hi < 0xC0 and 0x80 <= lo < 0xC0:
+                by["rest"].append(c)
+            elif hi < 0xC0 and lo < 0x7F:
+                by["ascii"].append(c)  # the last byte and a Latin letter
+    lead, turn, rest, swallowed = (f"[{re.escape(''.join(by[k]))}]" for k in ("lead", "turn", "rest", "ascii"))
+    rare = lambda k: f"[{re.escape(''.join(c for c in by[k] if not _common(c) and c not in MARKS))}]"
+    gone, sign = f"(?:{LOST}+|[?])", "[" + "".join(garbled(c, "utf-8", "gb18030") for c in "°±·×÷µμΩπα") + "]"
+    # after lost bytes correct text may follow, common characters of which could pass for the last two of a sequence
+    after = f"{gone}(?:{turn}{gone})*(?:{rare('turn')}{rest}|{turn}{rare('rest')}|{turn}{rest}(?={lead}|{gone}|[\x00-\x7f]|$)|{swallowed}|{rest}(?={lead}))?"
+    core = f"(?:{lead}(?:{turn}(?:{rest}|{after})|{swallowed}|{after})|{after}|{sign}(?={lead}|{LOST}|[\x00-\x7f]|$))"
+    return re.compile(f"{core}(?:[\x00-\x7f]*{core})*+")
+
+
+def _common(c: str) -> bool:
+    """One of the frequent Chinese characters (level 1 of GB 2312)."""
+    raw = c.encode("gb2312", "ignore")
+    return len(raw) == 2 and 0xB0 <= raw[0] <= 0xD7
 
 
 def _utf8_as_gbk(line: str) -> Mended:
-    text = restored(line, "utf-8", "gb18030", lossy=True)
-    han = len(_HAN.findall(line))
-    good = sum("一" <= c <= "鿿" or c in "，。、：“”" for c in text)
-    bad = text.count(LOST) + text.count("?") - line.count("?")
-    return (text, sum(c > "\x7f" for c in line)) if good >= 2 and good > bad and good >= 0.3 * han else None
+    """Each chain of garbled characters is put back and judged by itself; what lies between is kept."""
+    whole = restored(line, "utf-8", "gb18030")
+    spans = [m.span() for m in _gbk_chain().finditer(line)] if whole is None else [(0, len(line))]
+    all_han = len(_HAN.findall(line))
+    out, at, explained = [], 0, 0
+    for b, e in spans:
+        own = line[b:e]
+        text, han = restored(own, "utf-8", "gb18030", lossy=True), len(_HAN.findall(own))
+        good = sum("一" <= c <= "鿿" or c in MARKS for c in text)
+        bad = text.count(LOST) + text.count("?") - own.count("?")
+        # few characters beside correct ones may fit by chance
+        sure = han == all_han or good >= 4 or all(map(_common, _HAN.findall(text)))
+        if good >= 2 and good > bad and good >= 0.3 * han and sure:
+            out += [line[at:b], text]
+            at = e
+            explained += sum(c > "\x7f" for c in own)
+    return ("".join([*out, line[at:]]), explained) if explained else None
 
 
 @lru_cache(maxsize=None)
@@ -253,11 +338,10 @@ def mend(line: str) -> tuple[str, list[str]]:
             for true, read, weak in of:
                 by[true, read].append((last + 1 - size, last + 1, weak))
         best: tuple[tuple[int, bool], str, str] | None = None
-        plain = None
         for (true, read), hits in by.items():
             if (true, read) == ("utf-8", "gb18030"):
                 latin = [h for h in hits if h[1] - h[0] == 2]
-                good = _utf8_as_gbk(line) if len(hits) > len(latin) and 3 * (len(hits) - len(latin)) >= len(_HAN.findall(line)) else None
+                good = _utf8_as_gbk(line) if len(hits) > len(latin) else None
                 good = good or (_western(line, latin, true, read) if latin else None)
             elif true == "utf-8":
                 good = _utf8(line, hits, read)
@@ -266,8 +350,7 @@ def mend(line: str) -> tuple[str, list[str]]:
             elif (true, read) in WESTERN:
                 good = _western(line, hits, true, read)
             else:
-                plain = _russian(line) if plain is None else plain
-                good = _cyrillic(line, true, read, plain)
+                good = _cyrillic(line, true, read)
             if good is not None and good[0] != line:
                 # what explains most strange characters; control characters left over speak against a pair
                 gain = good[1] - 3 * sum("\x80" <= c < "\xa0" for c in good[0]) + (_russian(good[0]) if (true, read) in CYRILLIC else 0), true == "utf-8"
