@@ -175,12 +175,13 @@ class Index:
         part, item, low = self.regions(codes, starts)
         for a in range(0, len(part), 4096):
             d, i, lo = part[a : a + 4096], item[a : a + 4096], low[a : a + 4096]
-            score, _, end = self.align(codes, starts, ends, d, i, lo)
+            score = self.align(codes, starts, ends, d, i, lo)[0]
             good = score >= np.maximum(1, self.least[i] - self.edits * (1 + PENALTY))
             for r in np.flatnonzero(good):
-                last = int(starts[d[r]] + end[r])
-                first = max(int(starts[d[r]]), last - len(self.codes[i[r]]) - 2 * STEP)
-                text = "".join(map(chr, codes[first : min(int(ends[d[r]]), last + 2)]))
+                # the band's whole stretch: the same words may stand outside the best alignment
+                begin = int(starts[d[r]] + lo[r])
+                first, last = max(int(starts[d[r]]), begin - self.edits), begin + len(self.codes[i[r]]) + 2 * STEP + self.edits
+                text = "".join(map(chr, codes[first : min(int(ends[d[r]]), last)]))
                 held = out.setdefault((int(docs[d[r]]), int(i[r])), [0, False])
                 held[0], held[1] = max(held[0], int(score[r])), held[1] or any(w in text for w in self.windows[i[r]])
 
