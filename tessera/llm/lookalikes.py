@@ -36,7 +36,6 @@ LOOKALIKES = {
     "⺠": "民", "⻄": "西", "⻅": "见", "⻆": "角", "⻋": "车", "⻓": "长", "⻔": "门", "⻘": "青", "⻚": "页", "⻛": "风", "⻜": "飞", "⻝": "食", "⻢": "马", "⻣": "骨", "⻤": "鬼", "⻥": "鱼", "⻦": "鸟", "⻨": "麦", "⻩": "黄", "⻬": "齐", "⻮": "齿", "⻰": "龙", "⻳": "龟",
 }
 
-TOKEN = regex.compile(r"[[\p{L}\p{M}\p{Nd}\p{Cf}]--[\p{Han}]]+", regex.V1)
 _SCRIPTS = {s: regex.compile(rf"\p{{{s}}}") for s in ("Latin", "Cyrillic", "Greek", "Armenian", "Hiragana", "Katakana", "Hangul", "Arabic", "Hebrew", "Thai", "Devanagari")}
 
 
@@ -89,6 +88,20 @@ def table_form(text: str) -> str:
     return unicodedata.normalize("NFC", unicodedata.normalize("NFD", bare.translate(_SHAPES)))
 
 
+_IN_TOKEN = r"[\p{L}\p{M}\p{Nd}\p{Cf}]--[\p{Han}]"
+
+
+def _torn() -> str:
+    """Letters that look like a sign: no part of a token, or the texts would be parted differently."""
+    held = regex.compile(f"[{_IN_TOKEN}]", regex.V1).match
+    shapes = {b for a, b in LOOKALIKES.items() if bool(held(a)) != bool(held(b))}
+    spans = ((0xA0, 0x3100), (0xF900, 0x10000), (0x1D400, 0x1D800))
+    return "".join(c for a, b in spans for c in map(chr, range(a, b)) if held(c) and table_form(c) in shapes)
+
+
+TOKEN = regex.compile(f"[{_IN_TOKEN}--[{_torn()}]]+", regex.V1)
+
+
 @lru_cache(maxsize=1 << 16)
 def _script(ch: str) -> str | None:
     return next((s for s, p in _SCRIPTS.items() if p.match(ch)), None) if ch.isalpha() else None
