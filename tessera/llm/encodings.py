@@ -98,8 +98,6 @@ def _build() -> ahocorasick.Automaton:
     for read in READ_AS:
         letters_only = read in ("cp866", "koi8-r")
         for c in _sources():
-            if letters_only and c >= "⺀":
-                continue
             seq = garbled(c, "utf-8", read)
             tail = set(seq[1:])
             # the leads of these two are letters of Russian: a sequence of letters alone is no evidence
@@ -172,6 +170,8 @@ def _replace(line: str, spans: Iterable[tuple[int, int]], true: str, read: str)
 
 def _utf8(line: str, hits: list, read: str) -> Mended:
     spans = _spans(hits)
+    if read == "cp866":  # Chinese may turn into small letters alone, which any Russian word may hold
+        spans = [s for s in spans if s[3] or not line[s[0] : s[1]].islower()]
     mixed = lambda b, e: ((b and line[b - 1] in _ASCII) or (e < len(line) and line[e] in _ASCII)) and any(c.isalpha() and c >= "Ͱ" for c in line[b:e])
     sure = any(s[3] or s[2] >= 3 or mixed(s[0], s[1]) for s in spans)
     return _replace(line, [s[:2] for s in spans], "utf-8", read) if sure else None
