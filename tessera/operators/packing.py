@@ -25,7 +25,8 @@ def _starts(sums: np.ndarray, capacity: int) -> np.ndarray:
 
 
 def _effect(sizes: np.ndarray, capacity: int) -> tuple[list[int], list[int], list[int]]:
-    """The range's function in pieces: from which room on, the fill it ends with, how many shards it starts."""
+    """The range's function in pieces: from which room on, the fill it ends with, how many shards it starts. The room left never
+    exceeds the capacity, so only the rows that one shard can reach begin a piece."""
     n = len(sizes)
     sums = np.concatenate([[0], np.cumsum(sizes)])
     jump = np.append(_starts(sums, capacity), n)
@@ -38,9 +39,11 @@ def _effect(sizes: np.ndarray, capacity: int) -> tuple[list[int], list[int], lis
         count = np.where(inside, count + count[hop], count)
         hop = hop[hop]
     fill = sums[n] - sums[last[:n]]
-    new = np.ones(n, bool)
-    new[1:] = (last[1:n] != last[: n - 1]) | (count[1:n] != count[: n - 1])
-    at = np.flatnonzero(new)
+    # a row of no bytes never fails to fit once a shard is open, so none but the first begins a piece
+    at = np.flatnonzero((sums[:n] <= capacity) & ((sums[:n] < sums[1:]) | (np.arange(n) == 0)))
+    kept = np.ones(len(at), bool)
+    kept[1:] = (fill[at[1:]] != fill[at[:-1]]) | (count[at[1:]] != count[at[:-1]])
+    at = at[kept]
     return [-(2**62) if i == 0 else int(sums[i]) for i in at], fill[at].tolist(), count[:n][at].tolist()
 
 

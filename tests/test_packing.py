@@ -49,3 +49,12 @@ def test_cases(spark):
     got = sorted(((r["k"] or ""), r["shard_no"]) for r in next_fit(df, ["k"], "n", 100).collect())
     assert got == [("", 0), ("a", 0), ("b", 1), ("c", 2), ("c", 2)]
     assert next_fit(df.limit(0), ["k"], "n", 100).count() == 0
+
+
+def test_pieces_are_those_of_one_capacity():
+    import numpy as np
+
+    for size, capacity in ((5, 50), (5_000_000, 2 << 30), (1, 1000)):
+        assert len(_effect(np.full(100_000, size), capacity)[0]) <= capacity // size + 1
+    assert len(_effect(np.zeros(1000, np.int64), 10)[0]) == 1
+    assert len(_effect(np.random.default_rng(1).integers(0, 10_000, 50_000), 100_000)[0]) < 100
