@@ -7,7 +7,7 @@ import importlib
 import json
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +15,24 @@ from pyspark.sql import functions as F
 from tessera import schemas
 from tessera.functions.scalars import first_part, parse_size, percent
 from tessera.operators import profiling, rules
-from tessera.operators.keys import unique
+from tessera.operators.keys import DuplicateKeys, unique
 from tessera.operators.packing import next_fit
 from tessera.operators.reconcile import refreshed
 from tessera.plans import checks, release, tasks as task_plan
 from tessera.session import cut
 from tessera.sources import containers, files, sinks
 
-SIDE_FILES = ("prompts.csv", "README.md", "LICENSE")
+# Files of a release that go along with its shards.
+SIDE_FILES = ("validation_report.json", "prompts.csv", "build_metadata.log")
+
+
+def project_root(folders: Sequence[str] = ("tasks", "state", "output"), inner: Sequence[str] = ("tasks",)) -> str:
+    """The folder a command works in: this one if it holds all ``folders``, else its ``worker`` if that holds ``inner``, else this one."""
+    holds = lambda at, names: all(os.path.exists(os.path.join(at, n)) for n in names)
+    return "worker" if not holds(".", folders) and holds("worker", inner) else "."
+
+
+RELEASED = ("release/metadata.jsonl",)
 
 
 def enhancer(spec: str | None) -> Callable:
@@ -52,7 +62,8 @@ def build_metadata(spark: SparkSession, root: str, out: str, sha256: bool = True
     stages = release.repair_stages(files.key_set(spark, f"{root}/rerun_policy16_manifest.jsonl"), files.key_set(spark, files.newest(spark, f"{root}/rerun_99_state_backup_*.jsonl")))
     cache = files.probe_cache(spark, probe_cache)
     live = files.probe_records(containers.probed(media.join(cache, "task_id", "left_anti"))) if live_probe else None
-    digests = cut(release.reused_digests(media, files.prior_metadata(spark, reuse), containers.digests if sha256 else None))
+    prior = files.prior_metadata(spark, reuse if sha256 else None)  # without digests none is taken over either
+    digests = cut(release.reused_digests(media, prior, containers.digests if sha256 else None))
     config = release.Config(source_model, generation_api, enhancer(enhance))
     table = cut(release.metadata(made, reports, digests, release.measured(made, cache, live, profiles), stages, config))
     prompts = release.prompt_table(table, files.prompt_overrides(spark, f"{root}/rerun_policy16_manifest.jsonl"))
@@ -93,10 +104,10 @@ def make_shards(spark: SparkSession, root: str, dest: str, limit: str = "2g", fo
 
 
 def validate_dataset(spark: SparkSession, root: str, min_size: int = 1024, out: str | None = None) -> dict:
-    """The report of a project; all violations are written beside it."""
-    made, reports, media = cut(files.tasks(spark, f"{root}/tasks")), cut(files.states(spark, f"{root}/state")[0]), cut(files.media_listing(spark, f"{root}/output"))
+    """The report of a project; all violations are written beside it. A task without an id or in several lines raises DuplicateKeys."""
+    made, reports, media = cut(files.tasks(spark, f"{root}/tasks", strict=True)), cut(files.states(spark, f"{root}/state")[0]), cut(files.media_listing(spark, f"{root}/output"))
     found = cut(checks.project_violations(made, reports, media, min_size))
-    at = out or f"{root}/validation_report.json"
+    at = out or f"{root}/release/validation_report.json"
     sinks.json_table(found, f"{at}.violations")
     return sinks.report(spark, at, checks.project_report(made, reports, media, found).withColumn("root", F.lit(root)))
 
@@ -120,17 +131,17 @@ def validate_staging(spark: SparkSession, staging: str, output: str | None = Non
 
 
 def summarize(spark: SparkSession, root: str, out: str | None = None, shown: int = 20) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Progress over all, by account, and the first failures."""
-    reports = cut(files.states(spark, f"{root}/state")[0])
+    """Progress over all, by account, and the first failures. Every report that can be read counts, also repeated ones of a task."""
+    reports = cut(files.reports(spark, f"{root}/state")[0])
     made = files.account_lines(spark, f"{root}/tasks")
     if out:
-        sinks.csv_table(reports, out, schemas.columns(schemas.STATS), ["task_id"])
+        sinks.csv_table(reports.orderBy("_file"), out, schemas.columns(schemas.STATS))
     planned = made.agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("planned"))
     overall = checks.side_by_side(reports.agg(F.count("*").alias("touched"), F.count_if(F.col("status") == "done").alias("done")), planned)
     whole = F.when(F.col("planned") > 0, F.col("planned")).otherwise(F.col("touched"))
     overall = overall.withColumns({"untouched": F.greatest(F.lit(0), F.col("planned") - F.col("touched")), "percent_done": percent(F.col("done"), whole)})
     statuses = ["done", "running", "failed", "permanent_failed"]
-    by_account = profiling.matrix(reports.withColumn("account", first_part(F.col("task_id"))), "account", "status", statuses, "other")
+    by_account = profiling.matrix(reports.withColumn("account", first_part(files.report_key())), "account", "status", statuses, "other")
     full = made.join(by_account, "account", "full_outer").select("account", F.coalesce("lines", "total").alias("tasks"), *[F.coalesce(c, F.lit(0)).alias(c) for c in (*statuses, "other", "total")])
     full = full.withColumns({"pending": F.greatest(F.col("tasks") - F.col("total"), F.lit(0)), "percent_done": percent(F.col("done"), F.col("tasks"))})
     failed = reports.where(F.col("status").isin("failed", "permanent_failed")).orderBy("task_id").limit(shown).select("task_id", "status", "error")
@@ -154,10 +165,10 @@ def main(argv: list[str] | None = None) -> int:
         for names, kw in options:
             c.add_argument(*names.split(), **kw)
 
-    root = ("--root", {"default": "."})
+    root, released = ("--root", {"default": project_root()}), ("--root", {"default": project_root((*RELEASED, "output"), RELEASED)})
     command("generate-tasks", ("--csv", {"required": True}), ("--out", {"required": True}))
     command("build-metadata", root, ("--release-dir", {}), ("--no-sha256", {"action": "store_true"}), ("--ffprobe", {"action": "store_true"}), ("--probe-cache", {}), ("--reuse-checksums-from", {}), ("--enhancer", {}), ("--source-model", {"default": ""}), ("--generation-api", {"default": ""}))
-    command("make-shards", root, ("--dest", {"required": True}), ("--max-shard-size", {"default": "2g"}), ("--force", {"action": "store_true"}), ("--refresh-metadata-only", {"action": "store_true"}))
+    command("make-shards", released, ("--dest", {"required": True}), ("--max-shard-size", {"default": "2g"}), ("--force", {"action": "store_true"}), ("--refresh-metadata-only", {"action": "store_true"}))
     command("validate-dataset", root, ("--min-size", {"type": int, "default": 1024}), ("--out", {}))
     command("validate-staging", ("--staging", {"required": True}), ("--output", {}))
     command("summarize", root, ("--out", {}))
@@ -173,7 +184,11 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "make-shards":
         make_shards(spark, a.root, a.dest, a.max_shard_size, a.force, a.refresh_metadata_only).orderBy("shard").show(50, False)
     elif a.command in ("validate-dataset", "validate-staging"):
-        said = validate_dataset(spark, a.root, a.min_size, a.out) if a.command == "validate-dataset" else validate_staging(spark, a.staging, a.output)
+        try:
+            said = validate_dataset(spark, a.root, a.min_size, a.out) if a.command == "validate-dataset" else validate_staging(spark, a.staging, a.output)
+        except DuplicateKeys as e:
+            print(f"task_id: {e}", file=sys.stderr)
+            return 1
         print(json.dumps(said, ensure_ascii=False, indent=2))
         return int(not said["ok"])
     elif a.command == "summarize":

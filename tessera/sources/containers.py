@@ -10,6 +10,7 @@ import hashlib
 import io
 import json
 import subprocess
+import sys
 import tarfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -27,14 +28,31 @@ HEAD, CHUNK = 4096, 8 << 20
 BOXES = "array<struct<btype: string, offset: bigint, size: bigint>>"
 
 
-def opened(path: str):
-    """A file of any storage that Arrow knows, with random access."""
+def storage(path: str):
+    """The file system of a path, of any storage that Arrow knows, and the path within it."""
     from pyarrow import fs
 
-    system, at = (fs.LocalFileSystem(), path) if "://" not in path and not path.startswith("file:") else fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+    return (fs.LocalFileSystem(), path) if "://" not in path and not path.startswith("file:") else fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+
+
+def opened(path: str):
+    """A file with random access."""
+    system, at = storage(path)
     return system.open_input_file(at)
 
 
+#: Files after which a task says in its log how far it is.
+PROGRESS = 250
+
+
+def _counted(rows: Iterable, what: str) -> Iterator:
+    """``rows``, telling the task's log after every PROGRESS of them."""
+    for n, row in enumerate(rows, 1):
+        yield row
+        if n % PROGRESS == 0:
+            print(f"{what} {n} files", file=sys.stderr, flush=True)
+
+
 def boxes(f, size: int, limit: int | None = None) -> list[dict]:
     """Top-level boxes: type, offset, size. limit: only headers within the first bytes. A size of 0 reaches to the end, a size of 1 is in the next 8 bytes; a size that can't be ends the walk."""
     out, at = [], 0
@@ -120,7 +138,7 @@ def digests(files: DataFrame, path: str = "path") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(map(hashed, b.column(path).to_pylist()), pa.string())], names=[*b.schema.names, "sha256"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(map(hashed, _counted(b.column(path).to_pylist(), "hashed")), pa.string())], names=[*b.schema.names, "sha256"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
     return spread(kept).mapInArrow(run, f"{schema}, sha256 string")
@@ -128,14 +146,13 @@ def digests(files: DataFrame, path: str = "path") -> DataFrame:
 
 def ffprobe(path: str, binary: str = "ffprobe", timeout: int = 30) -> dict:
     """Width, height, frame rate, duration and frames of the first video stream by the external program; nothing if it is absent or fails."""
-    wanted = "stream=width,height,r_frame_rate,nb_frames,duration:format=duration"
+    wanted = "stream=width,height,avg_frame_rate,nb_frames,duration"
     try:
         done = subprocess.run([binary, "-v", "error", "-select_streams", "v:0", "-show_entries", wanted, "-of", "json", path], capture_output=True, timeout=timeout, check=True)
-        said = json.loads(done.stdout)
-        stream = said["streams"][0]
+        stream = json.loads(done.stdout)["streams"][0]
     except (OSError, subprocess.SubprocessError, ValueError, LookupError):
         return {}
-    return {"width": stream.get("width"), "height": stream.get("height"), "frame_rate": stream.get("r_frame_rate"), "duration_seconds": stream.get("duration") or said.get("format", {}).get("duration"), "num_frames": stream.get("nb_frames")}
+    return {"width": stream.get("width"), "height": stream.get("height"), "frame_rate": stream.get("avg_frame_rate"), "duration_seconds": stream.get("duration"), "num_frames": stream.get("nb_frames")}
 
 
 def probed(files: DataFrame, probe: Callable[[str], dict] = ffprobe) -> DataFrame:
@@ -144,7 +161,7 @@ def probed(files: DataFrame, probe: Callable[[str], dict] = ffprobe) -> DataFram
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(i, d) for i, p in zip(b.column("task_id").to_pylist(), b.column("path").to_pylist(), strict=True) if p and (d := probe(p.removeprefix("file:")))]
+            rows = [(i, d) for i, p in _counted(zip(b.column("task_id").to_pylist(), b.column("path").to_pylist(), strict=True), "probed") if p and (d := probe(p.removeprefix("file:")))]
             text = lambda v: None if v is None else str(v)
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.string()), *[pa.array([text(d.get(n)) for _, d in rows], pa.string()) for n in names]], names=["task_id", *names])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera import schemas
@@ -55,7 +55,7 @@ def json_lines(spark: SparkSession, path: str | list[str], schema: str, strict:
 
 
 def tasks(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame:
-    """All ``tasks_*.jsonl`` of a folder. The last line of a task by file name and place counts; strict: a missing or repeated id raises."""
+    """All ``tasks_*.jsonl`` of a folder, files or folders of parts. The last line of a task by file name and place counts; strict: a missing or repeated id raises."""
     df = spark.read.schema(schemas.TASKS).option("mode", "FAILFAST").json(f"{folder}/tasks_*.jsonl")
     if strict:
         return unique(df, "task_id")
@@ -63,18 +63,27 @@ def tasks(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame:
     return last_wins(placed.where("task_id IS NOT NULL"), ["task_id"], "_file", "_block", "_line").drop("_file", "_block", "_line")
 
 
-def states(spark: SparkSession, folder: str, skip: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Run reports, one JSON document per file, and the files that can't be read (``file, text``).
-
-    The key is ``task_id``, where missing or empty the file's stem; of several reports of a key the last file by name counts. skip: files whose names match (SQL LIKE) are left out."""
+def reports(spark: SparkSession, folder: str, skip: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """All run reports as they are with their ``_file``, one JSON document per file, and the files that can't be read (``file, text``). skip: files whose names match (SQL LIKE) are left out."""
     text = spark.read.text(f"{folder}/*.json", wholetext=True).withColumn("_file", F.col("_metadata.file_name"))
     if skip:
         text = text.where(~F.col("_file").like(skip))
     parsed = text.withColumn("s", F.from_json("value", f"{schemas.STATE}, _corrupt_record STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
     good = parsed.where("s IS NOT NULL AND s._corrupt_record IS NULL").select("s.*", "_file").drop("_corrupt_record")
-    key = F.coalesce(F.nullif(F.col("task_id"), F.lit("")), F.regexp_replace("_file", r"\.json$", ""))
     bad = parsed.where("s IS NULL OR s._corrupt_record IS NOT NULL").select(F.col("_file").alias("file"), F.col("value").alias("text"))
-    return last_wins(good.withColumn("task_id", key), ["task_id"], "_file").drop("_file"), bad
+    return good, bad
+
+
+def report_key() -> Column:
+    return F.coalesce(F.nullif(F.col("task_id"), F.lit("")), F.regexp_replace("_file", r"\.json$", ""))
+
+
+def states(spark: SparkSession, folder: str, skip: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The run report of every task, and the files that can't be read.
+
+    The key is ``task_id``, where missing or empty the file's stem; of several reports of a key the last file by name counts."""
+    good, bad = reports(spark, folder, skip)
+    return last_wins(good.withColumn("task_id", report_key()), ["task_id"], "_file").drop("_file"), bad
 
 
 def key_set(spark: SparkSession, path: str | None, key: str = "task_id") -> DataFrame:
@@ -195,6 +204,6 @@ def csv_rows(spark: SparkSession, path: str) -> int:
 
 
 def account_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """``account, lines``: non-blank lines of ``tasks_<account>.jsonl``, counted without reading them as JSON."""
-    text = spark.read.text(f"{folder}/tasks_*.jsonl").withColumn("account", F.regexp_extract(F.col("_metadata.file_name"), r"_([^_]+)\.jsonl$", 1))
+    """``account, lines``: non-blank lines of ``tasks_<account>.jsonl`` (a file, or a folder of parts), counted without reading them as JSON."""
+    text = spark.read.text(f"{folder}/tasks_*.jsonl").withColumn("account", F.regexp_extract(F.col("_metadata.file_path"), r"tasks_([^/]+?)\.jsonl(?:/[^/]*)?$", 1))
     return text.where(F.btrim("value") != "").groupBy("account").agg(F.count("*").alias("lines"))

@@ -5,9 +5,9 @@ from __future__ import annotations
 import hashlib
 import io
 import json
-import os
 import tarfile
 from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.scalars import shard_name
-from tessera.sources.containers import CHUNK, opened
+from tessera.session import cut, shuffle_partitions
+from tessera.sources.containers import opened, storage
 from tessera.sources.files import _path, matches
 
 
@@ -34,8 +35,19 @@ def prepare(spark: SparkSession, folder: str, force: bool = False) -> None:
 
 
 def tasks_by_account(tasks: DataFrame, folder: str) -> None:
-    """JSON lines, a folder per account; the account also stays in the lines."""
-    tasks.withColumn("_account", F.col("account")).repartition("_account").sortWithinPartitions("_account", "global_id", "task_id").write.mode("overwrite").partitionBy("_account").option("ignoreNullFields", False).json(folder)
+    """JSON lines, ``tasks_<account>.jsonl`` per account, which the readers of tasks find; the account also stays in the lines.
+
+    Each is a folder of parts in order of the tasks: ranges of account and number, so that an account is written by many tasks. Task files of an earlier run are
+    replaced, other files of the folder stay. A null account is named ``null``."""
+    order = ("_account", "global_id", "task_id")
+    named = tasks.withColumn("_account", F.coalesce("account", F.lit("null")))
+    made, fs = _path(spark := tasks.sparkSession, f"{folder}/_tasks.part")
+    named.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("_account").option("ignoreNullFields", False).json(str(made))
+    for old in matches(spark, f"{folder}/tasks_*.jsonl"):
+        fs.delete(_path(spark, old)[0], True)
+    for at in matches(spark, f"{made}/_account=*"):  # one folder per account
+        fs.rename(_path(spark, at)[0], _path(spark, f"{folder}/tasks_{unquote(at.rpartition('_account=')[2])}.jsonl")[0])
+    fs.delete(made, True)
 
 
 def csv_table(df: DataFrame, path: str, fields: Sequence[str] | None = None, order: Sequence[str] = ()) -> None:
@@ -112,7 +124,8 @@ class _Hashed(io.RawIOBase):
     def write(self, data) -> int:
         self.digest.update(data)
         self.size += len(data)
-        return self.raw.write(data)
+        self.raw.write(data)
+        return len(data)
 
     def tell(self) -> int:
         return self.size
@@ -122,21 +135,22 @@ class _Hashed(io.RawIOBase):
 
 
 def tar_shards(packed: DataFrame, folder: str, key: str = "task_id", path: str = "path", member: str = "videos/{}.mp4") -> DataFrame:
-    """Writes uncompressed tar files ``shards/train-NNNNN.tar`` below a local or mounted folder, a task for each few, and returns their index.
+    """Writes uncompressed tar files ``shards/train-NNNNN.tar`` below a folder of any storage that Arrow knows, a task for each few, and returns their index.
 
     packed: ``shard_no``, the key and the path of each file. A shard is written beside its place under the attempt's name and renamed, so a task that is repeated
     replaces its own work. Members stand in order of the key."""
-    root = folder.removeprefix("file://").removeprefix("file:")
+    root = folder.rstrip("/")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = TaskContext.get().taskAttemptId()
+        system, shards_at = storage(f"{root}/shards")
         rows: list[tuple] = []
         current, archive, sink, part, first, last, n = None, None, None, "", None, None, 0
 
         def close() -> None:
             archive.close()
             sink.raw.close()
-            os.replace(part, part.rpartition(".tmp")[0])
+            system.move(part, part.rpartition(".tmp")[0])
             rows.append((f"shards/train-{current:05d}.tar", n, sink.size, sink.digest.hexdigest(), first, last))
 
         for b in batches:
@@ -145,9 +159,9 @@ def tar_shards(packed: DataFrame, folder: str, key: str = "task_id", path: str =
                     if archive is not None:
                         close()
                     current, first, n = number, k, 0
-                    part = f"{root}/shards/train-{number:05d}.tar.tmp{attempt}"
-                    os.makedirs(os.path.dirname(part), exist_ok=True)
-                    sink = _Hashed(open(part, "wb", buffering=CHUNK))  # noqa: SIM115
+                    part = f"{shards_at}/train-{number:05d}.tar.tmp{attempt}"
+                    system.create_dir(shards_at, recursive=True)
+                    sink = _Hashed(system.open_output_stream(part))
                     archive = tarfile.open(fileobj=sink, mode="w|", format=tarfile.PAX_FORMAT)
                 with opened(at) as f:
                     info = tarfile.TarInfo(member.format(k))
@@ -159,8 +173,6 @@ def tar_shards(packed: DataFrame, folder: str, key: str = "task_id", path: str =
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string()), strict=True)], names=["shard", "num_videos", "size_bytes", "sha256", "first_task_id", "last_task_id"])
 
-    from tessera.session import cut
-
     rows = packed.select("shard_no", F.col(key).alias("key"), F.col(path).alias("path"))
     shards = (packed.agg(F.max("shard_no")).first()[0] or 0) + 1
     return cut(rows.repartition(min(shards, MOST_TASKS), "shard_no").sortWithinPartitions("shard_no", "key").mapInArrow(write, INDEX))

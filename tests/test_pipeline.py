@@ -40,11 +40,11 @@ def project(spark, tmp_path_factory):
         f.write("category,prompt_id,raw_prompt\n")
         f.writelines(f'cat{c},{s},"prompt {c}-{s}, ""quoted"",\nsecond line 世界",extra\n' for c in range(2) for s in range(1, 7))
         f.write("\ncat9,x,not a shot\ntwo,cells\n")
-    load = cli.generate_tasks(spark, f"{root}/prompts.csv", f"{root}/made").collect()
+    os.makedirs(f"{root}/tasks/tasks_Z.jsonl")  # of an earlier run
+    load = cli.generate_tasks(spark, f"{root}/prompts.csv", f"{root}/tasks").collect()
     assert sum(r["tasks"] for r in load) == 36
-    tasks = [r.asDict() for r in spark.read.schema(schemas.TASKS).json(f"{root}/made").collect()]
-    for a in {t["account"] for t in tasks}:
-        lines(f"{root}/tasks/tasks_{a}.jsonl", [t for t in tasks if t["account"] == a])
+    assert sorted(n for n in os.listdir(f"{root}/tasks") if not n.startswith(".")) == [f"tasks_{a}.jsonl" for a in "ABCDEFGHIJ"]
+    tasks = [r.asDict() for r in spark.read.schema(schemas.TASKS).json(f"{root}/tasks/tasks_*.jsonl").collect()]
     for i, t in enumerate(tasks):
         os.makedirs(f"{root}/state", exist_ok=True)
         with open(f"{root}/state/{t['task_id']}.json", "w") as f:
@@ -84,6 +84,9 @@ def test_metadata(spark, project):
     assert (again["files"], again["reused_digests"]) == (36, 36)
     values = release.measured(files.tasks(spark, f"{root}/tasks"), files.probe_cache(spark, None), None, schemas.profiles(spark))
     assert {r["media_metadata_source"] for r in values.collect()} == {"observed_resolution_profile"}
+    blank = cli.build_metadata(spark, root, f"{root}/release3", sha256=False, reuse=f"{root}/release/metadata.jsonl").first()
+    assert (blank["files"], blank["reused_digests"]) == (36, 0) and not os.path.exists(f"{root}/release3/checksums.sha256")
+    assert {r["lines"] for r in files.account_lines(spark, f"{root}/tasks").collect()} == {3, 6} or sum(r["lines"] for r in files.account_lines(spark, f"{root}/tasks").collect()) == 36
 
 
 @pytest.fixture(scope="module")
@@ -91,7 +94,6 @@ def staged(spark, project):
     root, ids, _ = project
     index = cli.make_shards(spark, root, f"{root}/staged", "6k").collect()
     assert sum(r["num_videos"] for r in index) == 36 and len(index) > 5
-    shutil.copytree(f"{root}/release/prompts.csv", f"{root}/staged/prompts.csv", dirs_exist_ok=True)
     return f"{root}/staged"
 
 
@@ -187,15 +189,48 @@ def test_project_defects(spark, project, tmp_path):
     by = {r["task_id"]: r["issues"] for r in sound.collect()}
     assert "no moov" in by[ids[3]] and by[ids[6]] == ["too small"]
     assert [r["task_id"] for r in lost.orderBy("task_id").collect()] == sorted([ids[2], "Z_g1_720p"])
-    assert said["samples"]["not_done"] == sorted([ids[1], ids[4]]) and spark.read.json(f"{copy}/validation_report.json.violations").count() == 7
+    assert said["samples"]["not_done"] == sorted([ids[1], ids[4]]) and spark.read.json(f"{copy}/release/validation_report.json.violations").count() == 7
     overall, by_account, failed = cli.summarize(spark, copy, f"{copy}/stats.csv")
     assert failed.count() == 0 and by_account.where("account = 'Z'").first()["tasks"] == 1
     assert overall.first()["planned"] == 36 and overall.first()["done"] == 35 and files.csv_rows(spark, f"{copy}/stats.csv") == 36
     with open(f"{copy}/tasks/tasks_Z.jsonl", "w") as f:
         f.write(json.dumps({**tasks[0], "category": "later"}) + "\n\n")
     assert files.tasks(spark, f"{copy}/tasks").where("category = 'later'").count() == 1
-    with pytest.raises(DuplicateKeys):
-        files.tasks(spark, f"{copy}/tasks", strict=True)
+    for strict in (lambda: files.tasks(spark, f"{copy}/tasks", strict=True), lambda: cli.validate_dataset(spark, copy, 100)):
+        with pytest.raises(DuplicateKeys):
+            strict()
+    shutil.copy(f"{copy}/state/{ids[6]}.json", f"{copy}/state/again.json")
+    assert cli.summarize(spark, copy, f"{copy}/stats.csv")[0].first()["touched"] == 37 == files.csv_rows(spark, f"{copy}/stats.csv")
+
+
+def test_probe_asks_for_the_mean_rate(tmp_path):
+    stub = tmp_path / "ffprobe"
+    stub.write_text('#!/bin/sh\necho "$@" > "$(dirname "$0")/asked"\necho \'{"streams": [{"width": 4, "height": 2, "r_frame_rate": "30/1", "avg_frame_rate": "24000/1001", "duration": "2.5", "nb_frames": "60"}], "format": {"duration": "9"}}\'\n')
+    stub.chmod(0o755)
+    assert containers.ffprobe("a.mp4", str(stub)) == {"width": 4, "height": 2, "frame_rate": "24000/1001", "duration_seconds": "2.5", "num_frames": "60"}
+    assert "r_frame_rate" not in (tmp_path / "asked").read_text().replace("avg_frame_rate", "")
+
+
+def test_root(tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    assert cli.project_root() == "."
+    (tmp_path / "worker" / "tasks").mkdir(parents=True)
+    assert cli.project_root() == "worker" and cli.project_root(("release/metadata.jsonl", "output"), cli.RELEASED) == "."
+    for name in ("tasks", "state", "output"):
+        (tmp_path / name).mkdir()
+    assert cli.project_root() == "."
+
+
+def test_many_profiles(spark, monkeypatch):
+    from tessera.plans import tasks as plan
+
+    prompts = spark.createDataFrame([(i, 1, "c", f"p{i}") for i in range(7)], "global_id int, prompt_id int, category string, raw_prompt string")
+    profiles = spark.createDataFrame([(f"r{k}", k, k, 10, 24) for k in range(9)], "resolution string, width int, height int, num_frames int, frame_rate int")
+    want = sorted(map(tuple, plan.task_table(prompts, profiles).collect()))
+    for limit, send in ((4, 100), (4, 1), (9, 1)):
+        monkeypatch.setattr(plan, "IN_PLAN", limit)
+        monkeypatch.setattr(plan, "BROADCAST", send)
+        assert sorted(map(tuple, plan.task_table(prompts, profiles).collect())) == want and len(want) == 63
 
 
 def test_overrides_conflict(spark, tmp_path):
