@@ -35,7 +35,7 @@ def task_table(prompts: DataFrame, profiles: DataFrame, accounts: Sequence[str]
 
 
 def _met(prompts: DataFrame, profiles: DataFrame) -> DataFrame:
-    placed = numbered(cut(profiles), "_place").withColumn("_block", F.floor(F.col("_place") / IN_PLAN)).drop("_place")
+    placed = numbered(cut(profiles), "_number").withColumn("_block", F.floor(F.col("_number") / IN_PLAN)).drop("_number")
     blocks, n = placed.agg(F.max("_block"), F.count("*")).first()
     own = prompts.select("global_id", "prompt_id", "category", "raw_prompt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks).cast("bigint"))).alias("_block"))
     return own.join(F.broadcast(placed) if n <= BROADCAST else placed, "_block").drop("_block")
