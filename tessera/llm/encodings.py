@@ -1,13 +1,15 @@
 """Text decoded with the wrong character encoding: found by precomputed garbled sequences, restored span by span.
 
 For every pair (true encoding, encoding it was read in) the sequences that characters turn into are computed once
-and put into one multi-pattern automaton. A line's matches decide which pair damaged it; only the matched
-spans are put back through that pair, so correct text beside them stays as it is. Up to three passes undo repeated damage.
+and put into one multi-pattern automaton. A line's matches decide which pair damaged it, span by span; only the matched
+spans are put back through that pair, so correct text beside them stays as it is. Damage on damage is undone layer by layer, until
+nothing matches any more.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -24,7 +26,13 @@ READ_AS = ("cp1252", "latin-1", "cp1250", "cp1251", "cp437", "cp850", "cp866", "
 # Western and Cyrillic single-byte pairs (true, read as).
 WESTERN = (("cp1252", "cp1251"), ("cp1252", "cp437"), ("cp1252", "mac_roman"), ("mac_roman", "cp1252"), ("cp850", "cp1252"), ("utf-8", "gb18030"))
 CYRILLIC = (("cp1251", "cp1252"), ("koi8-r", "cp1252"), ("koi8-r", "cp1251"), ("cp1251", "koi8-r"), ("cp866", "cp1251"), ("cp1251", "cp866"))
-# Frequent pairs of letters in Russian.
+# Letters of Western languages that single-byte pairs are looked for in, words of one of them, and signs that stand beside or between words in correct text.
+ACCENTED = "äöüßÄÖÜéèêëàâáãåçíìîïñóòôõúùûøæœÉÈÀÂÇÊÎÔÑÓÕÁÃÍÚ"
+WORDS_OF_ONE = set("àéèóáêôíÀÉÈÓÁÊÔÍ")
+EDGES = set("•–—’'‘“”…«»")
+JOINERS = EDGES | set("÷×·±°/§")
+# Letters of Russian, those that are words, and frequent pairs of them.
+RUSSIAN, ALONE = "абвгдеёжзийклмнопрстуфхцчшщъыьэюя", "абвжикосуя"
 BIGRAMS = "ст но то на ен ов ни ра во ко по не ро пр го ал ре ел ос ли та ва де ка ло ер ть ол ор ле ла ет те ог ом ес ат од ан из об ны ти ия ий"
 # Quotes, dashes and blanks that may follow a letter in correct text, and letters or signs that may follow the garbled lead.
 MAY_FOLLOW = set("\xa0\xad«»“”„‘’‚‹›–—…•") | set("ёЁπ∑∫∂Ω∞")
@@ -38,18 +46,17 @@ _GAP = "\x1a"
 _ASCII = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BREAK = re.compile("(\r\n|\r|\n)")
 _LATIN_RUN = re.compile("[\xa1-\xff]+")
-_CYRILLIC_WORD = re.compile("[Ѐ-џ]{3,}")
 _HAN = re.compile("[一-鿿]")
 _LATIN_FOUR = re.compile("[\xa1-\xff]{4}")
 _CYRILLIC_RUN = re.compile("[Ѐ-џ]+")
-_ACCENTED_WORD, _ACCENTED = re.compile("[À-ÖØ-öø-ÿ¸¨]{3,}"), re.compile("[À-ÖØ-öø-ÿ¸¨]+")
-_BIGRAM_LIST = BIGRAMS.split()
+_RUSSIAN = ("russian", "")
 
 
 def _sources() -> list[str]:
-    """Characters that texts in question hold."""
+    """Characters that texts in question hold, and all that the encodings read bytes as: damage on damage is made of these."""
     spans = ((0x80, 0x180), (0x2C6, 0x2C7), (0x2DC, 0x2DD), (0x386, 0x3CF), (0x400, 0x460), (0x490, 0x492), (0x1D62, 0x1D6B), (0x1E9E, 0x1E9F), (0x2010, 0x2027), (0x2030, 0x203B), (0x2070, 0x209D), (0x20AC, 0x20AD), (0x2100, 0x2127), (0x2190, 0x21D5), (0x2200, 0x2270), (0x25A0, 0x25A2), (0x3000, 0x3020), (0x3041, 0x30FF), (0x4E00, 0xA000), (0xFF01, 0xFF5F), (0xFEFF, 0xFF00))
-    return [chr(c) for a, b in spans for c in range(a, b)]
+    read = (c for e in READ_AS for c in _reading(e) if c > "\x7f")
+    return list(dict.fromkeys([*(chr(c) for a, b in spans for c in range(a, b)), *read]))
 
 
 @lru_cache(maxsize=None)
@@ -104,17 +111,17 @@ def _build() -> ahocorasick.Automaton:
             weak = tail <= MAY_FOLLOW or (letters_only and seq.isalpha()) or (len(seq) == 2 and seq[0] in "–—‚„") or (read == "cp1251" and seq == "В·") or (read == "koi8-r" and tail <= set("°²·÷©≈≤≥√ё"))
             found[seq].append(("utf-8", read, weak))
     for true, read in WESTERN:
-        for c in "äöüßÄÖÜéèêëàâáãåçíìîïñóòôõúùûøæœÉÈÀÂÇÊÎÔÑÓÕÁÃÍÚ":
-            try:
-                g = garbled(c, true, read)
-            except UnicodeError:
-                continue
-            if len(g) != 1 or g.isspace() or (g.isalpha() and g < "Ͱ") or g in "’'ʼ·-–—‑…":
+        for g, c in _accented(true, read).items():
+            latin = g.isalpha() and g < "Ͱ"
+            if g in "’'ʼ·-–—‑…" or (latin and not (g.isupper() and c.islower())):
                 continue
             for a in _ASCII:
-                found[a + g].append((true, read, g in HOMOGLYPHS or not (g.isalpha() or g == "\x81")))
-                if g.isalpha():
-                    found[g + a].append((true, read, g in HOMOGLYPHS))
+                if latin and not a.islower():
+                    continue  # a capital within small letters is what tells
+                weak = g in HOMOGLYPHS or not (g.isalpha() or g == "\x81")
+                found[a + g].append((true, read, weak))
+                if g.isalpha() and not latin:
+                    found[g + a].append((true, read, weak))
     for hi in range(0xB0, 0xF8):
         for lo in range(0xA1, 0xFF):
             found[chr(hi) + chr(lo)].append(("gb18030", "latin-1", False))
@@ -122,8 +129,11 @@ def _build() -> ahocorasick.Automaton:
         found[garbled(c, "gb18030", "latin-1")].append(("gb18030", "latin-1", False))
     for true, read in CYRILLIC:
         for b in BIGRAMS.split():
-            for form in (b, b.upper()):
+            for form in (b, b.upper(), b.capitalize()):
                 found[garbled(form, true, read)].append((true, read, False))
+    for b in BIGRAMS.split():
+        for form in (b, b.upper(), b.capitalize()):
+            found[form].append((*_RUSSIAN, False))
     for hi in range(0xE4, 0xEA):
         for lo in range(0x80, 0xC0):
             g = bytes([hi, lo]).decode("gb18030", "ignore")
@@ -136,6 +146,13 @@ def _build() -> ahocorasick.Automaton:
     return automaton
 
 
+@lru_cache(maxsize=None)
+def _accented(true: str, read: str) -> dict[str, str]:
+    """What accented letters turn into, where that is one visible character."""
+    pairs = ((garbled(c, true, read), c) for c in ACCENTED if _can(c, true))
+    return {g: c for g, c in pairs if len(g) == 1 and not g.isspace()}
+
+
 @lru_cache(maxsize=1)
 def automaton() -> ahocorasick.Automaton:
     return _build()
@@ -183,65 +200,85 @@ def _gbk_as_latin(line: str) -> Mended:
     good = []
     for b, e in (m.span() for m in _LATIN_RUN.finditer(line)):
         text = restored(line[b:e], "gb18030", "latin-1") if (e - b) % 2 == 0 else None
-        if text and all("一" <= c <= "鿿" or c in "，。、：；（）？！“”《》·—…°±×" or "！" <= c <= "～" for c in text):
+        if not text or not all("一" <= c <= "鿿" or c in "，。、：；（）？！“”《》·—…°±×" or "！" <= c <= "～" for c in text):
+            continue
+        # accented letters may stand side by side: few characters must all be frequent ones
+        han = [c for c in text if "一" <= c <= "鿿"]
+        if sum(map(_common, han)) >= (0.75 if len(han) >= 4 else 1) * len(han):
             good.append((b, e))
     return _replace(line, good, "gb18030", "latin-1") if any(e - b >= 4 for b, e in good) else None
 
 
-def _russian(text: str) -> int:
-    low = text.lower()
-    return sum(map(low.count, _BIGRAM_LIST))
+@lru_cache(maxsize=None)
+def _cyrillic_words(true: str, read: str) -> tuple[re.Pattern, dict[int, str]]:
+    """Runs of the characters that Russian letters turn into (in a Cyrillic page with its letters, as correct words are made of them), and the letters by these."""
+    letters = {garbled(c, true, read): c for c in RUSSIAN + RUSSIAN.upper()}
+    own = re.escape("".join(letters))
+    return re.compile(f"[{own}]+" if read == "cp1252" else f"[{own}Ѐ-џ]+"), {ord(g): c for g, c in letters.items()}
+
+
+class _Counts:
+    """Sequences found within a stretch of the line."""
+
+    def __init__(self, hits: list[tuple[int, int, bool]]) -> None:
+        self.begins, self.ends = sorted(h[0] for h in hits), sorted(h[1] for h in hits)
+
+    def within(self, begin: int, end: int) -> int:
+        return max(0, bisect_right(self.ends, end) - bisect_left(self.begins, begin))
 
 
-@lru_cache(maxsize=1 << 16)
-def _gain(word: str, true: str, read: str) -> int:
-    """How much more Russian a word is put back than as it stands."""
-    back, long = restored(word, true, read), len(word) >= 3
-    if back is None or not _CYRILLIC_RUN.fullmatch(back):
-        return -long
-    stands = 0 if read == "cp1252" else _russian(word) - (long and not _natural_case(word))
-    return _russian(back) - (long and not _natural_case(back)) - stands
+def _case_fault(word: str) -> bool:
+    return len(word) >= 3 and not _natural_case(word)
 
 
-def _garbled_runs(line: str, script: re.Pattern, true: str, read: str) -> list[tuple[int, int]]:
-    """Spans of neighbouring words that read better put back than as they stand: two states, and changing between them costs ``TURN``."""
+def _garbled_runs(line: str, found: _Counts, russian: _Counts, true: str, read: str) -> list[list[tuple[int, int]]]:
+    """Neighbouring words that read better put back than as they stand: two states, and changing between them costs ``TURN``."""
+    script, letters = _cyrillic_words(true, read)
     words = [m.span() for m in script.finditer(line)]
     gains = []
     for b, e in words:
+        word = line[b:e]
+        back = word.translate(letters)
         within_latin = read == "cp1252" and ((b and line[b - 1] in _ASCII) or (e < len(line) and line[e] in _ASCII))
-        gains.append(-1 if within_latin else _gain(line[b:e], true, read))
+        number = word in "×÷" and (line[:b].rstrip()[-1:].isdigit() or line[e:].lstrip()[:1].isdigit())
+        if within_latin or number or not all(ord(c) in letters for c in word):
+            gains.append(-1 if within_latin or number else -max(1, len(word)))
+            continue
+        stands = 0 if read == "cp1252" else russian.within(b, e) - _case_fault(word)
+        gains.append(found.within(b, e) - _case_fault(back) - stands)
     if not any(g > 0 for g in gains):
         return []
     correct, wrong, steps = 0, 0, []
     for gain in gains:
         steps.append((wrong - TURN > correct, correct - TURN > wrong))
         correct, wrong = max(correct, wrong - TURN), max(wrong, correct - TURN) + gain
-    spans: list[tuple[int, int]] = []
+    runs: list[list[tuple[int, int]]] = []
     state, joined = wrong > correct, False
-    for (b, e), (from_wrong, from_correct) in zip(reversed(words), reversed(steps), strict=True):
+    for span, (from_wrong, from_correct) in zip(reversed(words), reversed(steps), strict=True):
         if state:
-            spans[-1:] = [(b, spans[-1][1])] if joined else [*spans[-1:], (b, e)]
+            if joined:
+                runs[-1].append(span)
+            else:
+                runs.append([span])
         joined, state = state, not from_correct if state else from_wrong
         joined = joined and state
-    return spans[::-1]
+    return [r[::-1] for r in runs[::-1]]
 
 
-def _cyrillic(line: str, true: str, read: str) -> Mended:
-    """Words of the garbled script that become Russian by the pair; each run of them is judged by itself."""
-    word, script = (_ACCENTED_WORD, _ACCENTED) if read == "cp1252" else (_CYRILLIC_WORD, _CYRILLIC_RUN)
+def _cyrillic(line: str, hits: list, plain: list, true: str, read: str) -> Mended:
+    """Words that become Russian by the pair; each run of them is judged by itself."""
+    found, russian = _Counts(hits), _Counts(plain)
+    letters = _cyrillic_words(true, read)[1]
     good = []
-    for b, e in _garbled_runs(line, script, true, read):
-        before = word.findall(line[b:e])
-        letters, plain = sum(map(len, before)), _russian(line[b:e])
-        if letters < 5 or (read != "cp1252" and plain >= 0.2 * letters):
-            continue
-        kept = [a for w in before if (a := restored(w, true, read)) and _CYRILLIC_RUN.fullmatch(a)]
-        if not kept or sum(map(len, kept)) < 0.7 * letters:
+    for run in _garbled_runs(line, found, russian, true, read):
+        run = [(b, e) for b, e in run if all(ord(c) in letters for c in line[b:e]) and (e - b > 1 or line[b].isalpha() or letters[ord(line[b])].lower() in ALONE)]
+        long = [(b, e) for b, e in run if e - b >= 3]
+        size, back = sum(e - b for b, e in long), sum(found.within(b, e) for b, e in long)
+        stands = sum(russian.within(b, e) for b, e in long)
+        if size < 5 or back < 0.15 * size or (read != "cp1252" and (stands >= 0.2 * size or back <= 2 * stands)):
             continue
-        found = _russian(" ".join(kept))
-        if sum(map(_natural_case, kept)) < 0.8 * len(kept) or found < 0.15 * letters or (read != "cp1252" and found <= 2 * plain):
-            continue
-        good += [(b + m.start(), b + m.end()) for m in script.finditer(line[b:e])]
+        if sum(_natural_case(line[b:e].translate(letters)) for b, e in long) >= 0.8 * len(long):
+            good += run
     return _replace(line, good, true, read)
 
 
@@ -300,22 +337,51 @@ def _utf8_as_gbk(line: str) -> Mended:
 
 
 @lru_cache(maxsize=None)
-def _strange(true: str, read: str) -> re.Pattern:
-    garbles = {garbled(c, true, read) for c in "äöüßÄÖÜéèêëàâáãåçíìîïñóòôõúùûøæÉÈÀÂÇÊÎÔÑÓÕÁÃÍÚ" if _can(c, true)}
-    return re.compile("[" + re.escape("".join(c for c in garbles if len(c) == 1 and not c.isspace())) + "]+")
+def _western_word(true: str, read: str) -> re.Pattern:
+    return re.compile("[A-Za-zÀ-ÖØ-öø-ÿ" + re.escape("".join(_accented(true, read))) + "]+")
 
 
 def _western(line: str, hits: list, true: str, read: str) -> Mended:
-    """Single foreign letters within Latin words; with one such in the line, also words of one or two such letters."""
-    if all(weak for _, _, weak in hits):
-        signs = [h for h in hits if not line[h[1] - 1].isalpha() and h[1] < len(line) and line[h[1]] in _ASCII]
-        if len(signs) < 2:
-            return None
+    """Foreign characters within Latin words. A word is evidence if sequences are found in it, it has three plain letters and reads naturally put back;
+    a character at its edge, or a sign that may join words, needs a second word. Then words with two plain letters and words of one letter are put back too."""
+    letters = _accented(true, read)
+    strong, weak = {b for b, _, w in hits if not w} | {e - 1 for _, e, w in hits if not w}, {e - 1 for _, e, _ in hits}
+    sure: set[str] = set()
+    half: set[str] = set()
+    words = []
+    for m in _western_word(true, read).finditer(line):
+        b, e = m.span()
+        odd = [k for k in range(b, e) if line[k] in letters]
+        while odd and odd[-1] == e - 1 and line[e - 1] in EDGES:  # closes a quotation, or a sentence
+            odd.pop()
+            e -= 1
+        while odd and odd[0] == b and line[b] in EDGES:
+            odd.pop(0)
+            b += 1
+        if not odd:
+            continue
+        word = line[b:e]
+        back = "".join(letters.get(c, c) for c in word)
+        plain = sum(c in _ASCII for c in word)
+        natural = _natural_case(back)
+        words.append((b, e, odd, plain, natural, back))
+        if plain < (2 if read == "gb18030" else 3) or not natural:
+            continue
+        inner = [k for k in odd if b < k < e - 1]
+        if any(k in strong or (k in weak and line[k] not in JOINERS and not line[k].isalpha()) for k in inner):
+            sure.add(word)
+        elif any(k in weak or k in strong for k in odd):
+            half.add(word)
+    if not sure and len(half) < 2:
+        return None
     spans = []
-    for m in _strange(true, read).finditer(line):
-        beside = (m.start() and line[m.start() - 1] in _ASCII) or (m.end() < len(line) and line[m.end()] in _ASCII)
-        if beside or m.end() - m.start() <= 2:
-            spans.append(m.span())
+    for b, e, odd, plain, natural, back in words:
+        before, after = line[:b].rstrip()[-1:], line[e:].lstrip()[:1]
+        calm = not {before, after} & set("=+<>")  # no formula
+        alone = calm and back in WORDS_OF_ONE and (back in "àÀ" or (after.isalpha() and not before.isdigit()))
+        short = calm and plain == 1 and natural and not before.isdigit() and (len(back) == 2 or len(odd) >= 2)
+        if alone or short or (natural and plain >= 2):
+            spans += [(k, k + 1) for k in odd]
     return _replace(line, spans, true, read)
 
 
@@ -330,19 +396,18 @@ def _can(c: str, encoding: str) -> bool:
 def mend(line: str) -> tuple[str, list[str]]:
     """A line restored as far as possible and the pairs ``true>read`` that damaged it; no pairs: nothing is wrong."""
     pairs: list[str] = []
-    for _ in range(3):
-        if line.isascii():
-            break
+    seen = {line}
+    while not line.isascii():
         by: dict[tuple[str, str], list] = defaultdict(list)
         for last, (size, of) in automaton().iter(line):
             for true, read, weak in of:
                 by[true, read].append((last + 1 - size, last + 1, weak))
+        russian = by.pop(_RUSSIAN, [])
         best: tuple[tuple[int, bool], str, str] | None = None
         for (true, read), hits in by.items():
             if (true, read) == ("utf-8", "gb18030"):
-                latin = [h for h in hits if h[1] - h[0] == 2]
-                good = _utf8_as_gbk(line) if len(hits) > len(latin) else None
-                good = good or (_western(line, latin, true, read) if latin else None)
+                latin = [h for h in hits if line[h[0]] in _ASCII or line[h[1] - 1] in _ASCII]
+                good = (_utf8_as_gbk(line) if len(hits) > len(latin) else None) or (_western(line, latin, true, read) if latin else None)
             elif true == "utf-8":
                 good = _utf8(line, hits, read)
             elif true == "gb18030":
@@ -350,15 +415,17 @@ def mend(line: str) -> tuple[str, list[str]]:
             elif (true, read) in WESTERN:
                 good = _western(line, hits, true, read)
             else:
-                good = _cyrillic(line, true, read)
-            if good is not None and good[0] != line:
+                good = _cyrillic(line, hits, russian, true, read)
+            if good is not None and good[0] not in seen:
                 # what explains most strange characters; control characters left over speak against a pair
-                gain = good[1] - 3 * sum("\x80" <= c < "\xa0" for c in good[0]) + (_russian(good[0]) if (true, read) in CYRILLIC else 0), true == "utf-8"
+                gain = good[1] - 3 * sum("\x80" <= c < "\xa0" for c in good[0]), true == "utf-8"
                 if best is None or gain > best[0]:
                     best = (gain, good[0], f"{true}>{read}")
         if best is None:
             break
+        # UTF-8 undone makes the line shorter; other pairs never bring back a line seen before
         line, pairs = best[1], [*pairs, best[2]]
+        seen.add(line)
     return line, pairs
 
 
