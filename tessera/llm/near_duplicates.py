@@ -1,8 +1,9 @@
 """Near-duplicates with small edits: an exact similarity join of n-gram sets.
 
-Grams are ordered rare first (by document counts in a table of fixed size; any one order is right). Two sets of
-similarity t share a gram in their prefixes, so prefixes are joined gram by gram. A pair is taken up only where
-lengths and places leave room for the overlap it needs (length and positional filter), where the gram is not known to be
+Grams are ordered rare first (any one order is right), and grams that stand in the same texts, as those of one phrase do, follow each other as one
+cluster: told by document counts and three least hashes of the texts in tables of fixed size. Two sets of similarity t share a gram in their prefixes,
+so prefixes are joined cluster by cluster: one row per text and cluster of its prefix grams. A pair is taken up only where
+lengths and places leave room for the overlap it needs (length and positional filter), where the cluster is not known to be
 the second shared one, and where a lower bound of the number of grams they differ in from there on allows it (suffix filter, by
 384-bit parity signatures of the suffixes in place of recursive probing). What is left is made distinct and verified once per pair.
 """
@@ -18,9 +19,11 @@ from pyspark.sql import functions as F
 
 from tessera.session import cut, shuffle_partitions
 
-#: Buckets of the table of document counts, which is sent to all executors (8 bytes each).
+#: Buckets of the tables of grams; a cluster number and a count of each go to all executors (8 bytes a bucket).
 BUCKETS = 1 << 20
-#: Rows of one gram joined at once; a gram in more documents is split into parts that are joined pair by pair.
+#: Least hashes of its texts that a gram is clustered by.
+LEAST = 3
+#: Rows of one cluster joined at once; a cluster in more texts is split into parts that are joined pair by pair.
 CHUNK = 8192
 #: Groups up to this size are joined together, offset by offset; larger ones row against column.
 SMALL = 64
@@ -60,23 +63,44 @@ def _bucket(g: np.ndarray) -> np.ndarray:
 
 
 def _counts(n: int):
+    names = ["bucket", "docs", *[f"least_{k}" for k in range(LEAST)]]
+
     def counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
+        least = np.full((LEAST, BUCKETS), np.iinfo(np.int64).max)
         for batch in batches:
-            _, g = grams(batch.column("text").to_pylist(), n)
-            total += np.bincount(_bucket(g), minlength=BUCKETS)
+            doc, g = grams(batch.column("text").to_pylist(), n)
+            bucket, tid = _bucket(g), batch.column("tid").to_numpy()
+            total += np.bincount(bucket, minlength=BUCKETS)
+            for k in range(LEAST):
+                h = (_mixed(tid * LEAST + k + 1) >> np.uint64(2)).astype(np.int64)
+                np.minimum.at(least[k], bucket, h[doc])
         held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["bucket", "docs"])
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held]), *[pa.array(x[held]) for x in least]], names=names)
 
     return counts
 
 
-POSTING = "gram long, part_a int, part_b int, part int, tid long, size int, place int, before long, signature binary"
+def _clusters(bucket: np.ndarray, docs: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By bucket the number of its cluster, rare first, and by cluster how many texts hold its most frequent gram."""
+    cluster = np.unique(least, axis=1, return_inverse=True)[1].ravel() if len(bucket) else np.zeros(0, np.int64)
+    most = np.zeros(int(cluster.max(initial=-1)) + 1, np.int64)
+    np.maximum.at(most, cluster, docs)
+    order = np.argsort(most, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    number = np.zeros(BUCKETS, np.int32)
+    number[bucket] = rank[cluster]
+    return number, most[order].astype(np.int32)
+
+
+POSTING = "cluster int, part_a int, part_b int, part int, tid long, size int, place int, before int, signature binary"
+KEYS = ("cluster", "part_a", "part_b")
 
 
-def _postings(n: int, threshold: float, docs_of):
+def _postings(n: int, threshold: float, tables_of):
     def postings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs = docs_of.value
+        number, most = tables_of.value
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
@@ -84,9 +108,9 @@ def _postings(n: int, threshold: float, docs_of):
                 doc, g = grams(batch.column("text").to_pylist(), n)
                 if not len(g):
                     continue
-                count = docs[_bucket(g)]
-                order = np.lexsort((g, count, doc))  # doc stays in order
-                g, count = g[order], count[order]
+                cluster = number[_bucket(g)]
+                order = np.lexsort((cluster, doc))  # doc stays in order
+                g, cluster = g[order], cluster[order]
                 size = np.bincount(doc, minlength=len(tid))
                 first = np.cumsum(size) - size
                 place = np.arange(len(g)) - first[doc]
@@ -95,10 +119,14 @@ def _postings(n: int, threshold: float, docs_of):
                 running = np.zeros((len(g) + 1, WORDS), np.uint64)
                 running[np.arange(1, len(g) + 1), bit >> 6] = np.uint64(1) << (bit & 63).astype(np.uint64)
                 np.bitwise_xor.accumulate(running, axis=0, out=running)
-                before = np.where(place > 0, np.concatenate([[-1], g[:-1]]), -1)
-                # a gram that no other text has joins nothing
-                keep = np.flatnonzero((place <= size[doc] - np.ceil(threshold * size[doc] - 1e-9)) & (count > 1))
-                parts = -(-count[keep] // CHUNK)
+                # a row where a cluster begins; one that no other text has joins nothing
+                heads = np.ones(len(g), bool)
+                heads[1:] = (cluster[1:] != cluster[:-1]) | (place[1:] == 0)
+                keep = np.flatnonzero(heads & (place <= size[doc] - np.ceil(threshold * size[doc] - 1e-9)) & (most[cluster] > 1))
+                before = np.full(len(keep), -1, np.int32)
+                follows = doc[keep[1:]] == doc[keep[:-1]]
+                before[1:][follows] = cluster[keep[:-1]][follows]
+                parts = -(-most[cluster[keep]] // CHUNK)
                 own = (_mixed(tid[doc[keep]] + 1) >> np.uint64(33)).astype(np.int64) % parts
                 row = np.repeat(np.arange(len(keep)), parts)
                 other = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -107,17 +135,17 @@ def _postings(n: int, threshold: float, docs_of):
                 signature = running[(first + size)[d]] ^ running[k]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(g[k]),
+                        pa.array(cluster[k]),
                         pa.array(np.minimum(mine, other).astype(np.int32)),
                         pa.array(np.maximum(mine, other).astype(np.int32)),
                         pa.array(mine.astype(np.int32)),
                         pa.array(tid[d]),
                         pa.array(size[d].astype(np.int32)),
                         pa.array(place[k].astype(np.int32)),
-                        pa.array(before[k]),
+                        pa.array(before[row]),
                         pa.FixedSizeBinaryArray.from_buffers(pa.binary(WORDS * 8), len(d), [None, pa.py_buffer(signature)]).cast(pa.binary()),
                     ],
-                    names=["gram", "part_a", "part_b", "part", "tid", "size", "place", "before", "signature"],
+                    names=[*KEYS, "part", "tid", "size", "place", "before", "signature"],
                 )
 
     return postings
@@ -129,7 +157,7 @@ class _Rows:
     def __init__(self, batches: list[pa.RecordBatch], threshold: float) -> None:
         t = pa.Table.from_batches(batches)
         col = lambda c: t.column(c).to_numpy()
-        self.gram, self.a, self.b, self.part = col("gram"), col("part_a"), col("part_b"), col("part")
+        self.cluster, self.a, self.b, self.part = col("cluster"), col("part_a"), col("part_b"), col("part")
         self.tid, self.size, self.before = col("tid"), col("size").astype(np.float32), col("before")
         ratio = threshold / (1 + threshold)
         # partner's size that the rest of this set can still reach the overlap for
@@ -138,17 +166,17 @@ class _Rows:
         signature = np.frombuffer(joined, np.uint64).reshape(-1, WORDS)
         self.heads = [np.ascontiguousarray(signature[:, w]) for w in range(HEAD)]
         self.rest = np.ascontiguousarray(signature[:, HEAD:])
-        # a pair's sets may differ in the sum of its two shares from this gram on, if all before it differ
+        # a pair's sets may differ in the sum of its two shares from this place on, if all before it differ
         self.share = (self.size * (1 - 2 * ratio) - col("place") + _SLACK).astype(np.float32)
 
     def first_ok(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Pairs (as rows) that pass the length and positional filters, differ in the gram before, and belong to this part."""
+        """Pairs (as rows) that pass the length and positional filters, differ in the cluster before, and belong to this part."""
         ok = (self.reach[i] >= self.size[j]) & (self.reach[j] >= self.size[i])
         ok &= (self.before[i] != self.before[j]) | (self.before[i] < 0)
         return ok & ((self.part[i] != self.part[j]) | (self.a[i] == self.b[i])) & (self.tid[i] != self.tid[j])
 
     def close(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The suffix filter. If this gram is the first that a pair shares, all grams before it differ; those from here on may differ in
+        """The suffix filter. If this cluster is the first that a pair shares, all grams before it differ; those from here on may differ in
         no more than what is left. Their parity signatures differ in at most as many bits. (If it isn't the first, the pair is met there.)"""
         out_i, out_j = [i[:0]], [j[:0]]
         for at in range(0, len(i), 1 << 16):
@@ -165,9 +193,9 @@ class _Rows:
 
 
 def _pairs_of(rows: _Rows) -> tuple[np.ndarray, np.ndarray]:
-    n = len(rows.gram)
+    n = len(rows.cluster)
     new = np.ones(n, bool)
-    new[1:] = (rows.gram[1:] != rows.gram[:-1]) | (rows.a[1:] != rows.a[:-1]) | (rows.b[1:] != rows.b[:-1])
+    new[1:] = (rows.cluster[1:] != rows.cluster[:-1]) | (rows.a[1:] != rows.a[:-1]) | (rows.b[1:] != rows.b[:-1])
     start = np.flatnonzero(new)
     size = np.diff(np.append(start, n))
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -185,10 +213,13 @@ def _pairs_of(rows: _Rows) -> tuple[np.ndarray, np.ndarray]:
         cross = rows.a[s] != rows.b[s]
         for at in range(0, m, 256):
             top = slice(at, min(m, at + 256))
-            ok = (reach[top, None] >= length[None, at:]) & (reach[None, at:] >= length[top, None])
-            ok &= (before[top, None] != before[None, at:]) | (before[top, None] < 0)
+            # rows come by size: those beyond the block's widest reach are no partners
+            right = slice(at, int(np.searchsorted(length, reach[top].max(), side="right")))
+            ok = reach[top, None] >= length[None, right]
+            ok &= reach[None, right] >= length[top, None]
+            ok &= (before[top, None] != before[None, right]) | (before[top, None] < 0)
             if cross:
-                ok &= own[top, None] != own[None, at:]
+                ok &= own[top, None] != own[None, right]
             flat = np.flatnonzero(ok.ravel())
             i = np.repeat(np.arange(len(ok)), np.count_nonzero(ok, axis=1))
             j = flat - i * ok.shape[1]
@@ -214,7 +245,7 @@ def _join(threshold: float):
             if not batch.num_rows:
                 continue
             # rows come sorted: whatever precedes the last group of the batch is whole
-            key = [batch.column(c).to_numpy() for c in ("gram", "part_a", "part_b")]
+            key = [batch.column(c).to_numpy() for c in KEYS]
             differs = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1]))
             cut_at = int(differs[-1]) + 1 if len(differs) else 0
             rows += batch.num_rows
@@ -254,14 +285,13 @@ def similar_texts(texts: DataFrame, n: int, threshold: float) -> DataFrame:
     grams and no pair.
     """
     spark = texts.sparkSession
-    sums = texts.mapInArrow(_counts(n), "bucket long, docs long").groupBy("bucket").agg(F.sum("docs").alias("docs"))
-    table = np.zeros(BUCKETS, np.int64)
-    counted = sums.toArrow()  # at most BUCKETS rows
-    table[counted.column("bucket").to_numpy()] = counted.column("docs").to_numpy()
-    docs_of = spark.sparkContext.broadcast(table)
-    postings = texts.mapInArrow(_postings(n, threshold, docs_of), POSTING)
-    keys = ["gram", "part_a", "part_b"]
-    joined = postings.repartition(4 * shuffle_partitions(spark), *keys).sortWithinPartitions(*keys).mapInArrow(_join(threshold), "tid_a long, tid_b long")
+    least = [f"least_{k}" for k in range(LEAST)]
+    sums = texts.mapInArrow(_counts(n), f"bucket long, docs long, {', '.join(f'{c} long' for c in least)}")
+    counted = sums.groupBy("bucket").agg(F.sum("docs").alias("docs"), *[F.min(c).alias(c) for c in least]).toArrow()  # at most BUCKETS rows
+    column = lambda c: counted.column(c).to_numpy()
+    tables_of = spark.sparkContext.broadcast(_clusters(column("bucket"), column("docs"), np.stack([column(c) for c in least])))
+    postings = texts.mapInArrow(_postings(n, threshold, tables_of), POSTING)
+    joined = postings.repartition(4 * shuffle_partitions(spark), *KEYS).sortWithinPartitions(*KEYS, "size").mapInArrow(_join(threshold), "tid_a long, tid_b long")
     pairs = cut(joined.distinct())
     side = lambda s: texts.select(F.col("tid").alias(f"tid_{s}"), F.col("text").alias(f"text_{s}"))
     return pairs.join(side("a"), "tid_a").join(side("b"), "tid_b").select("tid_a", "tid_b", "text_a", "text_b").mapInArrow(_verify(n, threshold), "tid_a long, tid_b long, similarity double")

@@ -44,16 +44,16 @@ def test_parts_and_large_groups(spark, monkeypatch):
     monkeypatch.setattr(nd, "CHUNK", 8)
     monkeypatch.setattr(nd, "SMALL", 4)
     ts = texts()
-    doc, g = nd.grams(ts, 3)
-    counts = np.zeros(nd.BUCKETS, np.int64)
-    counts += np.bincount(nd._bucket(g), minlength=nd.BUCKETS)
     import pyarrow as pa
 
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(ts)), pa.int64()), pa.array(ts)], names=["tid", "text"])
+    (counted,) = nd._counts(3)([batch])
+    bucket, docs, *least = (c.to_numpy() for c in counted.columns)
+
     class Held:
-        value = counts
+        value = nd._clusters(bucket, docs, np.stack(least))
 
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(ts)), pa.int64()), pa.array(ts)], names=["tid", "text"])
-    rows = pa.Table.from_batches(list(nd._postings(3, 0.65, Held)([batch]))).sort_by([("gram", "ascending"), ("part_a", "ascending"), ("part_b", "ascending")])
+    rows = pa.Table.from_batches(list(nd._postings(3, 0.65, Held)([batch]))).sort_by([(c, "ascending") for c in (*nd.KEYS, "size")])
     pairs = {(min(ts[a], ts[b]), max(ts[a], ts[b])) for out in nd._join(0.65)(rows.combine_chunks().to_batches(max_chunksize=50)) for a, b in zip(*(out.column(c).to_pylist() for c in (0, 1)))}
     want = brute(ts, 3, 0.65)
     assert want <= pairs and len(pairs) < 4 * len(want) + 50
