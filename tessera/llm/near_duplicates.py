@@ -27,8 +27,8 @@ LEAST = 3
 CHUNK = 8192
 #: Groups up to this size are joined together, offset by offset; larger ones row against column.
 SMALL = 64
-#: 64-bit words of a signature, and those that are compared first.
-WORDS, HEAD = 6, 4
+#: 64-bit words of a signature, those that are compared first, and of these the ones compared row against column.
+WORDS, HEAD, BLOCKED = 6, 4, 3
 _SLACK = 1e-3
 
 
@@ -175,6 +175,28 @@ class _Rows:
         ok &= (self.before[i] != self.before[j]) | (self.before[i] < 0)
         return ok & ((self.part[i] != self.part[j]) | (self.a[i] == self.b[i])) & (self.tid[i] != self.tid[j])
 
+    def large(self, start: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of one large group. Rows in order of their share: a row meets only those whose share leaves any difference to the pair, and
+        most pairs end with the first words of their signatures, compared row against column."""
+        share = np.ceil(self.share[start : start + count]).astype(np.int32)
+        order = np.argsort(-share, kind="stable")
+        share, back = share[order], order + start
+        heads = [h[back] for h in self.heads[:BLOCKED]]
+        found = [(back[:0], back[:0])]
+        for at in range(0, count, 64):
+            if 2 * share[at] < 0:
+                break
+            top, right = slice(at, at + 64), slice(at, int(np.searchsorted(-share, share[at], side="right")))
+            bits = np.bitwise_count(heads[0][top, None] ^ heads[0][None, right])
+            for head in heads[1:]:
+                bits += np.bitwise_count(head[top, None] ^ head[None, right])
+            i, j = np.nonzero(bits <= share[top, None] + share[None, right])
+            upper = j > i
+            i, j = back[i[upper] + at], back[j[upper] + at]
+            ok = self.first_ok(i, j)
+            found.append(self.close(i[ok], j[ok]))
+        return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+
     def close(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The suffix filter. If this cluster is the first that a pair shares, all grams before it differ; those from here on may differ in
         no more than what is left. Their parity signatures differ in at most as many bits. (If it isn't the first, the pair is met there.)"""
@@ -208,23 +230,7 @@ def _pairs_of(rows: _Rows) -> tuple[np.ndarray, np.ndarray]:
         ok = rows.first_ok(active, active + k)
         found.append(rows.close(active[ok], active[ok] + k))
     for s, m in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-        part = slice(s, s + m)
-        reach, length, before, own = rows.reach[part], rows.size[part], rows.before[part], rows.part[part]
-        cross = rows.a[s] != rows.b[s]
-        for at in range(0, m, 256):
-            top = slice(at, min(m, at + 256))
-            # rows come by size: those beyond the block's widest reach are no partners
-            right = slice(at, int(np.searchsorted(length, reach[top].max(), side="right")))
-            ok = reach[top, None] >= length[None, right]
-            ok &= reach[None, right] >= length[top, None]
-            ok &= (before[top, None] != before[None, right]) | (before[top, None] < 0)
-            if cross:
-                ok &= own[top, None] != own[None, right]
-            flat = np.flatnonzero(ok.ravel())
-            i = np.repeat(np.arange(len(ok)), np.count_nonzero(ok, axis=1))
-            j = flat - i * ok.shape[1]
-            upper = j > i
-            found.append(rows.close(i[upper] + (s + at), j[upper] + (s + at)))
+        found.append(rows.large(s, m))
     i = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
     j = np.concatenate([y for _, y in found]) if found else np.zeros(0, np.int64)
     a, b = rows.tid[i], rows.tid[j]
@@ -291,7 +297,7 @@ def similar_texts(texts: DataFrame, n: int, threshold: float) -> DataFrame:
     column = lambda c: counted.column(c).to_numpy()
     tables_of = spark.sparkContext.broadcast(_clusters(column("bucket"), column("docs"), np.stack([column(c) for c in least])))
     postings = texts.mapInArrow(_postings(n, threshold, tables_of), POSTING)
-    joined = postings.repartition(4 * shuffle_partitions(spark), *KEYS).sortWithinPartitions(*KEYS, "size").mapInArrow(_join(threshold), "tid_a long, tid_b long")
+    joined = postings.repartition(4 * shuffle_partitions(spark), *KEYS).sortWithinPartitions(*KEYS).mapInArrow(_join(threshold), "tid_a long, tid_b long")
     pairs = cut(joined.distinct())
     side = lambda s: texts.select(F.col("tid").alias(f"tid_{s}"), F.col("text").alias(f"text_{s}"))
     return pairs.join(side("a"), "tid_a").join(side("b"), "tid_b").select("tid_a", "tid_b", "text_a", "text_b").mapInArrow(_verify(n, threshold), "tid_a long, tid_b long, similarity double")
