@@ -2,7 +2,8 @@
 
 Rows are hashed where they are read. Keys fall into buckets; per bucket and column the hashes are added up
 (addition commutes, so neither order nor place matters). Only buckets and columns whose sums differ are
-read again and joined; equal parts of the copies never move.
+read again and joined. As a key may be in several rows, of which one counts, each row's key and hashes move once, to settle that; values move only
+in unequal buckets and columns.
 """
 
 from __future__ import annotations
@@ -17,22 +18,29 @@ from tessera.session import cut
 #: Keys per bucket aimed at: fewer make the matrix larger, more make a difference read more equal rows again.
 KEYS_PER_BUCKET = 4
 LOW = 0xFFFFFFFF
+#: Unequal buckets (of 12 bytes) that are broadcast at most; more are met by a join that sorts both sides.
+BROADCAST = 2_000_000
 
 
-def _wide(*values: Column) -> list[Column]:
+def _halves(*values: Column) -> list[Column]:
+    """128 bits of hash as two numbers: the same values hashed from two beginnings."""
+    return [F.xxhash64(F.lit("a"), *values), F.xxhash64(F.lit("b"), *values)]
+
+
+def _wide(a: Column, b: Column) -> list[Column]:
     """128 bits of hash as four numbers of 32 bits, so that 2**31 rows of a bucket add up without overflow."""
-    a, b = F.xxhash64(*values, F.lit("a")), F.xxhash64(F.lit("b"), *values)
     return [a.bitwiseAND(F.lit(LOW)), F.shiftrightunsigned(a, 32), b.bitwiseAND(F.lit(LOW)), F.shiftrightunsigned(b, 32)]
 
 
 def _current(df: DataFrame, key: str, columns: Sequence[str], order: str | None, carried: Sequence[str]) -> DataFrame:
     """One row per key, the one with the highest ``order``, ties by the highest hashes: the hashes of ``columns``
-    as ``_h<i>``, and the values of ``carried``. Hashes alone leave the task where nothing is carried."""
-    hashes = [F.xxhash64(F.lit(c), F.col(key), F.col(c)).alias(f"_h{i}") for i, c in enumerate(columns)]
+    as ``_h<i>a, _h<i>b``, and the values of ``carried``. Hashes alone leave the task where nothing is carried."""
+    names = [f"_h{i}{half}" for i in range(len(columns)) for half in "ab"]
+    hashes = [h.alias(n) for n, h in zip(names, [h for c in columns for h in _halves(F.lit(c), F.col(key), F.col(c))], strict=True)]
     rank = [F.col(order).alias("_order")] if order else []
     row = F.struct(*rank, *hashes, *[F.col(c) for c in carried])
     top = df.where(F.col(key).isNotNull()).groupBy("_bucket", key).agg(F.max(row).alias("_top"))
-    return top.select("_bucket", key, *[F.col(f"_top._h{i}") for i in range(len(columns))], *[F.col(f"_top.{c}").alias(c) for c in carried])
+    return top.select("_bucket", key, *[F.col(f"_top.{n}") for n in names], *[F.col(f"_top.{c}").alias(c) for c in carried])
 
 
 def differences(
@@ -61,11 +69,11 @@ def differences(
         return df.select(bucket, key, *names, *([order] if order and order not in names else []))
 
     sides = ((side(left, left_order), left_order, 1), (side(right, right_order), right_order, -1))
-    width = len(_wide(F.lit(0)))
+    width = 4
     cells = [f"_{c}_{k}" for c in range(len(names) + 1) for k in range(width)]
 
     def sums(df: DataFrame, order: str | None, sign: int) -> DataFrame:
-        hashes = [_wide(F.col(key)), *[_wide(F.col(key), F.col(f"_h{i}")) for i in range(len(names))]]
+        hashes = [_wide(*_halves(F.col(key))), *[_wide(F.col(f"_h{i}a"), F.col(f"_h{i}b")) for i in range(len(names))]]
         flat = [(h * sign).alias(cells[i * width + k]) for i, hs in enumerate(hashes) for k, h in enumerate(hs)]
         return _current(df, key, names, order, []).select("_bucket", *flat)
 
@@ -74,11 +82,13 @@ def differences(
     unequal = lambda i: F.greatest(*[(F.col(cells[i * width + k]) != 0).cast("int") for k in range(width)]) == 1
     flags = [unequal(0).alias("_keys"), *[unequal(i + 1).alias(f"_differs_{i}") for i in range(len(names))]]
     located = cut(matrix.select("_bucket", *flags).where(" OR ".join(["_keys", *[f"_differs_{i}" for i in range(len(names))]])))
-    seen = located.agg(*[F.max(f"_differs_{i}") for i in range(len(names))]).first()
+    count, *seen = located.agg(F.count("*"), *[F.max(f"_differs_{i}") for i in range(len(names))]).first()
+    buckets_only = located.select("_bucket")
+    met = F.broadcast(buckets_only) if count <= BROADCAST else buckets_only
     differing = [c for c, any_bucket in zip(names, seen, strict=True) if any_bucket]
 
     def again(df: DataFrame, order: str | None) -> DataFrame:
-        part = df.join(located, "_bucket", "left_semi")
+        part = df.join(met, "_bucket", "left_semi")
         current = _current(part, key, names, order, differing)
         return current.select(key, *[F.col(c) for c in differing], F.lit(True).alias("_here"))
 

@@ -1,8 +1,8 @@
 """References to records that do not exist, are deleted or arrive later.
 
-Both sides are first reduced to one row per key (map-side combined, so that a key holding a third of
-all rows is one row after the first exchange), then range-partitioned together. Within a range the
-parents come first, as one sorted array; batches of references are probed by binary search.
+Both sides are first reduced (map-side combined) to one row per key, references to one per key, what they look up and period, then
+range-partitioned together. Within a range the parents come first, as one sorted array; batches of references are probed by binary search.
+What very many different keys look up (one path in a third of the reports) is spread over several ranges, each with a copy of its parent row.
 """
 
 from __future__ import annotations
@@ -14,8 +14,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import shuffle_partitions
+from tessera.session import cut, shuffle_partitions
 
+#: Buckets that lookups are counted in to find frequent ones, and references of a bucket that are never spread.
+BUCKETS, FEW = 1 << 17, 1024
 #: Keys longer than this many characters are compared by digest, which bounds the width of the arrays.
 WIDE_KEY = 64
 
@@ -73,6 +75,19 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("ref_field").take(rows), batch.column("ref_key").take(rows), names, batch.column("period").take(rows)], names=["ref_field", "ref_key", "finding", "period"])
 
 
+def _spread(refs: DataFrame, ranges: int) -> DataFrame:
+    """``_bucket, _copies``: the buckets of lookups with more than half a range's share of all references, and how many ranges each goes over: at most twice ``ranges`` rows, whatever the data."""
+    counts = refs.where("lookup IS NOT NULL").groupBy(_bucket().alias("_bucket")).agg(F.count("*").alias("n"))
+    counts = cut(counts)  # at most BUCKETS rows
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    share = max(FEW, total // (2 * ranges) + 1)
+    return counts.where(F.col("n") > share).select("_bucket", F.ceil(F.col("n") / share).cast("int").alias("_copies"))
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("ref_field", "lookup"), F.lit(BUCKETS)).cast("int")
+
+
 def orphan_references(refs: DataFrame, parents: DataFrame, partitions: int | None = None) -> DataFrame:
     """One row per distinct reference that finds no usable parent.
 
@@ -101,13 +116,19 @@ def orphan_references(refs: DataFrame, parents: DataFrame, partitions: int | Non
         .groupBy("ref_field", "lookup")
         .agg(F.count_if(kept).alias("live"), F.min(F.when(kept, F.coalesce(micros(F.col("listed_at")), F.lit(-(2**62))))).alias("at"))
     )
+    # bounded: at most 2 n rows
+    hot = F.broadcast(_spread(refs, n))
+    copies = F.coalesce("_copies", F.lit(1))
+    placed = lambda df: df.withColumn("_bucket", _bucket()).join(hot, "_bucket", "left")
+    held = placed(held).withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+    wanted = placed(wanted.where("lookup IS NOT NULL")).withColumn("copy", F.pmod(F.xxhash64("ref_key", "period"), copies).cast("int"))
     tagged = held.select(
-        F.lit(0).alias("side"), "ref_field", "lookup", F.lit(None).cast("string").alias("ref_key"), F.lit(None).cast("string").alias("period"), "at", "live"
-    ).unionByName(wanted.where("lookup IS NOT NULL").select(F.lit(1).alias("side"), "ref_field", "lookup", "ref_key", "period", "at", F.lit(0).cast("bigint").alias("live")))
+        F.lit(0).alias("side"), "ref_field", "lookup", "copy", F.lit(None).cast("string").alias("ref_key"), F.lit(None).cast("string").alias("period"), "at", "live"
+    ).unionByName(wanted.select(F.lit(1).alias("side"), "ref_field", "lookup", "copy", "ref_key", "period", "at", F.lit(0).cast("bigint").alias("live")))
     ranged = (
         tagged.withColumn("fixed", F.concat("ref_field", F.lit("|"), _fixed(F.col("lookup"))))
         .drop("lookup")
-        .repartitionByRange(n, "fixed")
+        .repartitionByRange(n, "fixed", "copy")
         .sortWithinPartitions("side", "fixed")
     )
     misses = ranged.mapInArrow(_probe, "ref_field string, ref_key string, finding string, period string")

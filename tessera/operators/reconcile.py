@@ -48,10 +48,9 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], shown: int
 
 
 def member_differences(left: DataFrame, right: DataFrame, group: str, member: str) -> DataFrame:
-    """Per group the members of one side only: ``group, missing, extra`` (sorted arrays of right-lacking and left-lacking members), groups without any left out."""
-    p = presence(left, right, [group, member])
-    lists = p.groupBy(group).agg(F.array_sort(F.collect_list(F.when(~F.col("in_right"), F.col(member)))).alias("missing"), F.array_sort(F.collect_list(F.when(~F.col("in_left"), F.col(member)))).alias("extra"))
-    return lists.where("size(missing) + size(extra) > 0")
+    """The members of one side only, a row each: ``group, member, finding`` (``missing``: the right side lacks it, ``extra``: the left side does). No group is gathered."""
+    off = presence(left, right, [group, member]).where("NOT (in_left AND in_right)")
+    return off.select(group, member, F.when(F.col("in_left"), F.lit("missing")).otherwise(F.lit("extra")).alias("finding"))
 
 
 def value_differences(left: DataFrame, right: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

@@ -367,13 +367,11 @@ def location_refresh(spark, folder):
     return reconcile.refreshed(source, staged, "task_id", ["file_name", "shard"])
 
 
-@query("""WITH p AS (SELECT coalesce(a.account, b.account) AS account, coalesce(a.task_id, b.task_id) AS k, a.task_id IS NOT NULL AS l, b.task_id IS NOT NULL AS r
-  FROM (SELECT DISTINCT split_part(task_id, '_', 1) AS account, task_id FROM metadata) a FULL JOIN (SELECT DISTINCT split_part(task_id, '_', 1) AS account, task_id FROM media) b ON a.task_id = b.task_id)
-SELECT account, coalesce(string_agg(k, ',' ORDER BY k) FILTER (NOT r), '') AS missing, coalesce(string_agg(k, ',' ORDER BY k) FILTER (NOT l), '') AS extra FROM p GROUP BY 1 HAVING count(*) FILTER (NOT (l AND r)) > 0""")
-def shard_members_diff(spark, folder):
+@query("""WITH p AS (SELECT coalesce(a.task_id, b.task_id) AS task_id, a.task_id IS NOT NULL AS l, b.task_id IS NOT NULL AS r FROM (SELECT DISTINCT task_id FROM metadata) a FULL JOIN (SELECT DISTINCT task_id FROM media) b ON a.task_id = b.task_id)
+SELECT split_part(task_id, '_', 1) AS account, task_id, CASE WHEN l THEN 'missing' ELSE 'extra' END AS finding FROM p WHERE NOT (l AND r)""")
+def member_rows(spark, folder):
     of = lambda n: table(spark, folder, n).select(scalars.first_part(F.col("task_id")).alias("account"), "task_id")
-    df = reconcile.member_differences(of("metadata"), of("media"), "account", "task_id")
-    return df.select("account", F.array_join("missing", ",").alias("missing"), F.array_join("extra", ",").alias("extra"))
+    return reconcile.member_differences(of("metadata"), of("media"), "account", "task_id")
 
 
 @query("SELECT split_part(line, '  ', 1) AS sha256, substr(line, strpos(line, '  ') + 2) AS file_name FROM (SELECT coalesce(sha256, '') || '  ' || coalesce(file_name, '') AS line FROM checksums) WHERE strpos(line, chr(13)) = 0")

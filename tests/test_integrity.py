@@ -2,6 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tessera.operators import orphans
 from tessera.operators.differences import differences, digest_copy
 from tessera.operators.orphans import orphan_references, state_references
 
@@ -79,3 +80,16 @@ def test_differences_hot_key_and_long_values(spark):
     left, right = hot.unionByName(long), hot.where("k <> 'k1'").unionByName(long.withColumn("a", F.concat("a", "k")))
     got = rows(differences(left, right, "k", ["a"], "l", "r", "n", "n"))
     assert got == [("k1", "only_l"), ("long", "a")]
+
+
+def test_hot_lookup_is_spread(spark):
+    """One path in a third of the reports: its references go over several ranges and all find their parent."""
+    at = "timestamp'2026-01-05 00:00:00'"
+    refs = spark.range(30_000).selectExpr("'f' ref_field", "concat('r', id) ref_key", "case when id % 3 = 0 then 'hot.mp4' when id % 3 = 1 then 'gone.mp4' else concat('p', id) end lookup", f"{at} at")
+    parents = spark.sql(f"select 'f' ref_field, 'hot.mp4' lookup, {at} listed_at, cast(null as timestamp) removed_at union all select 'f', 'gone.mp4', {at}, {at}")
+    found = orphan_references(refs, parents, 8)
+    by = {r["finding"]: r["count"] for r in found.groupBy("finding").count().collect()}
+    assert by == {"deleted": 10_000, "missing": 10_000}
+    hot = orphans._spread(refs, 8).collect()
+    assert len(hot) == 2 and all(4 <= r["_copies"] <= 8 for r in hot)
+    assert orphans._spread(refs.limit(0), 8).count() == 0

@@ -81,7 +81,7 @@ def test_reconcile(spark):
     assert rows(reconcile.within(a, b, ["k"]).select("k")) == [("2",), ("3",)]
     assert tuple(reconcile.cardinalities(a, b, ["k"]).first()) == (4, 3, 2, 2, 1)
     assert not reconcile.same_set(a, b, ["k"]).first()[0] and reconcile.same_set(a.limit(0), b.limit(0), ["k"]).first()[0]
-    assert [(r["g"], list(r["missing"]), list(r["extra"])) for r in reconcile.member_differences(a.where("k is not null"), b, "g", "k").orderBy("g").collect()] == [("g", ["1"], []), ("h", [], ["4"])]
+    assert sorted(map(tuple, reconcile.member_differences(a.where("k is not null"), b, "g", "k").collect())) == [("g", "1", "missing"), ("h", "4", "extra")]
     assert rows(reconcile.value_differences(a.where("k is not null"), b, ["k"], "v")) == [("1", "x", None), ("3", None, "w"), ("4", None, None)]
     with pytest.raises(reconcile.Mismatch, match="only left"):
         reconcile.same_keys(a, b, ["k"])
