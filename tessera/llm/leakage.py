@@ -2,9 +2,11 @@
 
 A stretch of ``length`` characters kept with at most ``edits`` edits shares at least ``length - q + 1 - q * edits`` q-grams
 with its source, all within a band of ``2 * edits + 1`` diagonals (place in the document less place in the item).
-Documents are scanned once: their q-grams are looked up in the index of the items, hits are counted in overlapping
+All q-grams of a document are looked up in the index of the items, which holds every STRIDE-th of theirs (each kept stretch between edits
+loses less than one more by that), hits are counted in overlapping
 diagonal bands, and bands that reach the bound of their item are verified by banded alignment. The index
-of a block of items is the only thing sent to the executors; its size is bounded, larger sets are taken in several blocks.
+of a block of items is the only thing sent to the executors: some 11 bytes a character. Larger sets are taken block by block, each a scan of the
+documents whose result is written before the next block is indexed, so that one index is alive at a time.
 """
 
 from __future__ import annotations
@@ -18,14 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import ship
+from tessera.session import cut, ship
 
 #: Characters of a q-gram, edits allowed in a leaked stretch, and the words such a stretch has at least.
 Q, EDITS, WORDS = 16, 1, 12
 #: Diagonals by which one band begins after the other; a band has twice as many.
 STEP = 8
-#: Bytes of item text that are indexed and sent out at once.
-BLOCK_BYTES = 8 << 20
+#: Places in an item of which one is indexed.
+STRIDE = 4
+#: Bytes of item text that are indexed and sent out at once (an index of at most 90 MB), and matches that are counted at once.
+BLOCK_BYTES, MATCHES = 8 << 20, 1 << 21
 #: Cost of an edit in the alignment; a kept character counts 1.
 PENALTY = 3
 #: Code points that are read at once, and after which a long text is cut into parts (which overlap by more than an item).
@@ -67,37 +71,82 @@ def _hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _word_runs(codes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of plain words: where each whole word (one between blanks) begins and the last ends plus one, and a 64-bit hash of each run of ``words`` words."""
+    blank = np.flatnonzero(codes == 32)
+    if len(blank) <= words:
+        return blank + 1, np.zeros(0, np.uint64)
+    # hash of each prefix of the characters, words told apart by their blanks; runs are differences brought to one scale
+    powers = _powers(int(np.diff(blank).max()) + 1)
+    size = np.diff(blank)
+    begin = blank[:-1] + 1
+    place = np.arange(int(blank[0]) + 1, int(blank[-1]) + 1)
+    weights = powers[place - np.repeat(begin, size)]
+    word = np.add.reduceat(codes[place].astype(np.uint64) * weights, begin - begin[0])
+    word ^= word >> np.uint64(31)
+    word *= np.uint64(0xD6E8FEB86659FD93)
+    run = word[: len(word) - words + 1].copy()
+    for k in range(1, words):
+        run = run * np.uint64(0x9E3779B97F4A7C15) + word[k : len(word) - words + 1 + k]
+    return blank + 1, run
+
+
+@lru_cache(maxsize=4)
+def _power_table(bits: int) -> np.ndarray:
+    out = np.ones(1 << bits, np.uint64)
+    out[1:] = np.uint64(0x9E3779B97F4A7C15)
+    return np.multiply.accumulate(out)
+
+
+def _powers(n: int) -> np.ndarray:
+    return _power_table(max(6, (n - 1).bit_length()))
+
+
+def _pieces(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of entries whose sizes sum to about ``most`` at most."""
+    sums, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(sums, (sums[a - 1] if a else 0) + most, side="right")))
+        yield a, b
+        a = b
+
+
 class Index:
     """The q-grams of a block of items and what their leaked stretches must reach."""
 
     def __init__(self, items: list[tuple[int, str]], words: int = WORDS, edits: int = EDITS) -> None:
         self.words, self.edits = words, edits
-        codes, least, ids, windows = [], [], [], []
+        codes, least, ids, begins, runs = [], [], [], [], []
         for item, text in items:
             c = plain_words(text)
-            said = "".join(map(chr, c)).split()
-            if len(said) < words:
+            at, h = _word_runs(c, words)
+            if not len(h):
                 continue  # too short to leak a stretch of that many words
-            runs = [" " + " ".join(said[i : i + words]) + " " for i in range(len(said) - words + 1)]
-            codes.append(c)
+            codes.append(c.astype(np.uint16 if c.max() < 1 << 16 else np.uint32))
             ids.append(item)
-            least.append(min(map(len, runs)))
-            windows.append(runs)
-        self.ids, self.codes, self.windows = np.array(ids, np.int64), codes, windows
+            # a run of words, with the blanks around it
+            least.append(int((at[words:] - at[:-words]).min()) + 1)
+            begins.append(at.astype(np.int32))
+            runs.append(h)
+        self.ids, self.codes, self.begins, self.runs = np.array(ids, np.int64), codes, begins, runs
         self.least = np.array(least, np.int64)
-        #: the bound of the q-gram lemma; at least one q-gram must remain
-        self.bound = np.maximum(1, self.least - Q + 1 - Q * edits)
-        grams = [_hashes(c) for c in codes]
-        place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
-        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams]) if grams else np.zeros(0, np.int64)
+        #: the bound of the q-gram lemma for every STRIDE-th q-gram of the edits + 1 kept parts; at least one must remain
+        self.bound = np.maximum(1, -(-(self.least - Q + 1 - Q * edits - (STRIDE - 1) * (edits + 1)) // STRIDE))
+        grams = [_hashes(c)[::STRIDE] for c in codes]
+        place = np.concatenate([np.arange(len(g), dtype=np.int32) * STRIDE for g in grams]) if grams else np.zeros(0, np.int32)
+        owner = np.repeat(np.arange(len(grams), dtype=np.int32), [len(g) for g in grams]) if grams else np.zeros(0, np.int32)
         grams = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(grams, kind="stable")
-        self.grams, self.starts = np.unique(grams[order], return_index=True)
-        self.ends = np.append(self.starts[1:], len(grams)).astype(np.int64)
+        self.grams, starts = np.unique(grams[order], return_index=True)
+        self.starts = np.append(starts, len(grams)).astype(np.int32)
         self.place, self.owner = place[order], owner[order]
         self.seen = np.zeros(1 << 22, bool)
         self.seen[(self.grams >> np.uint64(42)).astype(np.int64)] = True
 
+    def size(self) -> int:
+        """Bytes of the index."""
+        return sum(x.nbytes for x in (self.grams, self.starts, self.place, self.owner, self.seen, *self.codes, *self.begins, *self.runs))
+
     def regions(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
         """Of several documents' codes, laid end to end and beginning at ``starts``: document, item and the lowest diagonal of each band that reaches its bound."""
         none = (np.zeros(0, np.int64),) * 3
@@ -113,19 +162,25 @@ class Index:
         at, k, doc = (x[enough[doc]] for x in (at, k, doc))
         if not len(at):
             return none
-        n = self.ends[k] - self.starts[k]
-        which = np.repeat(self.starts[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        doc, at = np.repeat(doc, n), np.repeat(at, n)
-        item, diagonal = self.owner[which], at - starts[doc] - self.place[which]
-        band = np.floor_divide(diagonal, STEP)
-        doc, item, band = np.tile(doc, 2), np.tile(item, 2), np.concatenate([band, band - 1])
-        shift = int(band.min())
-        key = (doc * len(self.ids) + item) * (int(band.max()) - shift + 1) + (band - shift)
-        keys, counts = np.unique(key, return_counts=True)
-        pair, low = np.divmod(keys, int(band.max()) - shift + 1)
+        # bands of all diagonals there can be, so that parts of the matches can be counted by themselves
+        longest = max(map(len, self.codes))
+        shift = -(-longest // STEP) + 1
+        bands = shift + int(np.diff(np.append(starts, len(codes))).max()) // STEP + 2
+        n = (self.starts[k + 1] - self.starts[k]).astype(np.int64)
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for a, b in _pieces(n, MATCHES):
+            each = n[a:b]
+            which = np.repeat(self.starts[k[a:b]].astype(np.int64), each) + np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            owner = np.repeat(doc[a:b], each)
+            diagonal = np.repeat(at[a:b], each) - starts[owner] - self.place[which]
+            key = (owner * len(self.ids) + self.owner[which]) * bands + np.floor_divide(diagonal, STEP) + shift
+            new, times = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+            keys, index = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            counts = np.bincount(index, np.concatenate([counts, times])).astype(np.int64)
+        pair, low = np.divmod(keys, bands)
         item = pair % len(self.ids)
         good = counts >= self.bound[item]
-        return (pair // len(self.ids))[good], item[good], ((low + shift) * STEP)[good]
+        return (pair // len(self.ids))[good], item[good], ((low - shift) * STEP)[good]
 
     def align(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray, item: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Best local alignment of each region within its band: score, where it ends in the item and in the document."""
@@ -181,9 +236,19 @@ class Index:
                 # the band's whole stretch: the same words may stand outside the best alignment
                 begin = int(starts[d[r]] + lo[r])
                 first, last = max(int(starts[d[r]]), begin - self.edits), begin + len(self.codes[i[r]]) + 2 * STEP + self.edits
-                text = "".join(map(chr, codes[first : min(int(ends[d[r]]), last)]))
                 held = out.setdefault((int(docs[d[r]]), int(i[r])), [0, False])
-                held[0], held[1] = max(held[0], int(score[r])), held[1] or any(w in text for w in self.windows[i[r]])
+                held[0], held[1] = max(held[0], int(score[r])), held[1] or self._same_words(codes[first : min(int(ends[d[r]]), last)], int(i[r]))
+
+    def _same_words(self, codes: np.ndarray, item: int) -> bool:
+        """Whether a run of words of the item stands in ``codes``: by hash, then character by character."""
+        own, at = self.codes[item], self.begins[item]
+        there, hashes = _word_runs(codes, self.words)
+        for k in np.flatnonzero(np.isin(hashes, self.runs[item])):
+            said = codes[there[k] : there[k + self.words]]
+            for r in np.flatnonzero(self.runs[item] == hashes[k]):
+                if np.array_equal(own[at[r] : at[r + self.words]], said):
+                    return True
+        return False
 
 
 def _segments(starts: np.ndarray, ends: np.ndarray, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -244,8 +309,11 @@ def leaked_items(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame,
     texts = docs.select(F.col(doc_id).alias("doc"), F.col(doc_text).alias("text"))
     found = None
     for b in range(blocks):
-        held = [tuple(r) for r in wanted.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()]
+        held = [tuple(r) for r in wanted.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()]  # about block_bytes of text
         index = spark.sparkContext.broadcast(Index(held, words, edits))
         part = texts.mapInArrow(_scan(index), f"doc {kind}, item long, item_chars int, score int, exact_words boolean")
+        if blocks > 1:
+            part = cut(part)
+            index.destroy()
         found = part if found is None else found.unionByName(part)
     return found.withColumnsRenamed({"doc": doc_id, "item": item_id})

@@ -70,3 +70,33 @@ def test_frame(spark):
         assert {(r["doc_id"], r["item_id"]) for r in got.where("exact_words and doc_id is not null").collect()} == want
     assert leaked_items(df.limit(0), "doc_id", "text", held, "item_id", "text").count() == 0
     assert leaked_items(df, "doc_id", "text", held.limit(0), "item_id", "text").count() == 0
+
+
+def test_index_is_small():
+    items = [(i, " ".join("".join(random.choices("abcdefghijklmnop", k=random.randint(2, 9))) for _ in range(400))) for i in range(600)]
+    index = Index(items)
+    size = sum(len(t) for _, t in items)
+    assert (index.size() - (4 << 20)) / size < 11.5
+
+
+def test_common_grams_are_counted_in_pieces(monkeypatch):
+    docs, items = corpus()
+    want = Index(items).leaks([t for _, t in docs])
+    monkeypatch.setattr(leakage, "MATCHES", 5)
+    assert Index(items).leaks([t for _, t in docs]) == want
+
+
+def test_recall_of_one_edit():
+    """Stretches of 12 words and more with one character put in, left out or replaced."""
+    found = n = 0
+    for trial in range(400):
+        item = " ".join(words(40))
+        src = item.split()
+        at, size = random.randint(0, 20), random.choice([12, 13, 15, 20])
+        cut = " ".join(src[at : at + size])
+        k = random.randrange(len(cut))
+        cut = random.choice([cut[:k] + "z" + cut[k:], cut[:k] + cut[k + 1 :], cut[:k] + "z" + cut[k + 1 :]])
+        doc = " ".join([*words(30), cut, *words(30)])
+        n += 1
+        found += any(i == 5 for _, i, *_ in Index([(5, item)]).leaks([doc]))
+    assert found >= 0.98 * n
