@@ -1,9 +1,9 @@
 """Text that looks the same but differs in its characters, brought to one form.
 
-The distinct tokens of the corpus are its vocabulary. Blocks of tokens (by their first characters in table form)
-hold one trie of clean spellings each; a weighted edit automaton walks it for every token that is not plain ASCII,
+The distinct tokens of the corpus are its vocabulary. Words are cut into one part more than the budget of edits, of which one is always
+left whole: by it words and tokens meet in blocks, with one trie of clean spellings each. A weighted edit automaton walks the trie for every token that is not plain ASCII,
 with no cost for look-alikes and for characters without width, and a cost of 1 for any other edit. Of the words reached
-within the budget (0: only what looks the same) the best spelling is canonical. Tokens that reach none,
+within the budget (0: only what looks the same) the best spelling is canonical, and texts take it from there. Tokens that reach none,
 and what stands between tokens, are brought into form by table.
 """
 
@@ -28,15 +28,20 @@ LOOKALIKES = {
     "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "Ѕ": "S", "І": "I", "Ј": "J", "Ԍ": "G", "Ԛ": "Q", "Ԝ": "W", "Ү": "Y", "Ѵ": "V", "Ӏ": "I",
     # Greek
     "ο": "o", "ν": "v", "ϲ": "c", "ϳ": "j", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J",
-    # Armenian, Latin
-    "օ": "o", "Օ": "O", "ɡ": "g",
+    # Armenian, Latin, Coptic
+    "օ": "o", "Օ": "O", "ո": "n", "հ": "h", "ս": "u", "զ": "q", "Տ": "S", "Լ": "L", "ɡ": "g", "ɑ": "a", "ⲟ": "o", "Ⲟ": "O", "ⲣ": "p", "Ⲣ": "P", "ⲥ": "c", "Ⲥ": "C", "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X",
+    # Cherokee, Lisu
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮍ": "Y", "Ꮐ": "G", "Ꮓ": "Z", "Ꮩ": "V", "Ꮪ": "S", "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ᏼ": "B",
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
+    # Katakana like Chinese characters and Hiragana
+    "ニ": "二", "ロ": "口", "カ": "力", "ト": "卜", "ハ": "八", "エ": "工", "タ": "夕", "ヘ": "へ",
     # signs
-    "‐": "-", "‑": "-", "∕": "/", "⁄": "/", "∶": ":", "‧": "·", "∙": "·", "⋅": "·", "ʼ": "’", "ʹ": "′", "µ": "μ", "∑": "Σ", "∏": "Π", "∆": "Δ",
+    "‐": "-", "‑": "-", "−": "-", "﹣": "-", "∕": "/", "⁄": "/", "∶": ":", "‧": "·", "∙": "·", "⋅": "·", "ʼ": "’", "ʹ": "′", "µ": "μ", "∑": "Σ", "∏": "Π", "∆": "Δ",
     # radicals of Chinese characters without a decomposition of their own
     "⺠": "民", "⻄": "西", "⻅": "见", "⻆": "角", "⻋": "车", "⻓": "长", "⻔": "门", "⻘": "青", "⻚": "页", "⻛": "风", "⻜": "飞", "⻝": "食", "⻢": "马", "⻣": "骨", "⻤": "鬼", "⻥": "鱼", "⻦": "鸟", "⻨": "麦", "⻩": "黄", "⻬": "齐", "⻮": "齿", "⻰": "龙", "⻳": "龟",
 }
 
-_SCRIPTS = {s: regex.compile(rf"\p{{{s}}}") for s in ("Latin", "Cyrillic", "Greek", "Armenian", "Hiragana", "Katakana", "Hangul", "Arabic", "Hebrew", "Thai", "Devanagari")}
+_SCRIPTS = {s: regex.compile(rf"\p{{{s}}}") for s in ("Latin", "Cyrillic", "Greek", "Armenian", "Coptic", "Cherokee", "Lisu", "Hiragana", "Katakana", "Hangul", "Arabic", "Hebrew", "Thai", "Devanagari")}
 
 
 @lru_cache(maxsize=1 << 16)
@@ -80,12 +85,22 @@ _SHAPES, _WIDTHS = _Table(True), _Table(False)
 _BARE = {c: None for c in range(0x110000) if ignorable(chr(c))}
 
 
+_KANA = {ord(b): a for a, b in LOOKALIKES.items() if "ァ" <= a <= "ヺ"}
+_KANA_RUN = regex.compile("[ァ-ー" + "".join(map(chr, _KANA)) + "]*[ァ-ヺ][ァ-ー" + "".join(map(chr, _KANA)) + "]*")
+
+
+def _in_kana(text: str) -> str:
+    """Shapes that are both Katakana and another script are Katakana where they stand beside other Katakana."""
+    return _KANA_RUN.sub(lambda m: m[0].translate(_KANA), text)
+
+
 def table_form(text: str) -> str:
     """``text`` in one form by table alone: what looks the same comes out equal."""
     if text.isascii():
         return text.replace("\t", " ")
     bare = unicodedata.normalize("NFD", text.translate(_BARE))
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", bare.translate(_SHAPES)))
+    # what looks like Katakana gets the other script's character first, so that both spellings come to one
+    return _in_kana(unicodedata.normalize("NFC", unicodedata.normalize("NFD", bare.translate(_SHAPES))))
 
 
 _IN_TOKEN = r"[\p{L}\p{M}\p{Nd}\p{Cf}]--[\p{Han}]"
@@ -102,6 +117,10 @@ def _torn() -> str:
 TOKEN = regex.compile(f"[{_IN_TOKEN}--[{_torn()}]]+", regex.V1)
 
 
+#: Texts without a character of this kind hold no token but plain ASCII (a pattern of the JVM).
+_ODD = r"[\p{L}\p{M}\p{Nd}\p{Cf}&&[^\p{IsHan}]&&[^\x00-\x7F]]"
+
+
 @lru_cache(maxsize=1 << 16)
 def _script(ch: str) -> str | None:
     return next((s for s, p in _SCRIPTS.items() if p.match(ch)), None) if ch.isalpha() else None
@@ -182,14 +201,34 @@ class Trie:
                             queue.append((cost + 1, child))
         return list(best.values())
 
-    def canonical(self, token: str, budget: int = 0) -> str | None:
-        """The best spelling reached: least cost, plain ASCII first, then the most frequent, then the smallest; None if none is reached."""
+    def best(self, token: str, budget: int = 0) -> tuple[int, bool, int, str] | None:
+        """The best spelling reached, as ``(cost, not ASCII, -count, word)``: least cost, plain ASCII first, then the most frequent, then the smallest; None if none is reached."""
         found = self.reach(token, budget)
-        return min(found, key=lambda w: (found[w][0], not w.isascii(), -found[w][1], w)) if found else None
+        return min((cost, not w.isascii(), -n, w) for w, (cost, n) in found.items()) if found else None
+
+    def canonical(self, token: str, budget: int = 0) -> str | None:
+        found = self.best(token, budget)
+        return found[-1] if found else None
+
 
+def _parts(size: int, budget: int) -> list[tuple[int, int]]:
+    return [(i * size // (budget + 1), (i + 1) * size // (budget + 1)) for i in range(budget + 1)]
 
-#: Characters of a token's table form that decide its block: equal for all spellings that look the same.
-BLOCK = 4
+
+def word_keys(word: str, budget: int) -> set[str]:
+    """Blocks of a vocabulary word: its length, and one of budget + 1 parts of its table form. An edit changes one unit, so a part stays whole."""
+    u = unicodedata.normalize("NFD", table_form(word))
+    return {f"{len(u)} {i} {u[a:b]}" for i, (a, b) in enumerate(_parts(len(u), budget))}
+
+
+def token_keys(token: str, budget: int) -> set[str]:
+    """All blocks that may hold a word within the budget: parts of words of any length in reach, at most the budget off their places."""
+    u = unicodedata.normalize("NFD", table_form(token))
+    keys = set()
+    for size in range(max(0, len(u) - budget), len(u) + budget + 1):
+        for i, (a, b) in enumerate(_parts(size, budget)):
+            keys |= {f"{size} {i} {u[a + k : b + k]}" for k in range(-budget, budget + 1) if a + k >= 0 and b + k <= len(u)}
+    return keys
 
 
 def _vocabulary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,18 +236,32 @@ def _vocabulary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
         for text in batch.column(0).to_pylist():
             counts.update(TOKEN.findall(text))
-        tokens = list(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(tokens, pa.string()), pa.array([counts[t] for t in tokens], pa.int64()), pa.array([table_form(t)[:BLOCK] for t in tokens], pa.string()), pa.array([t.isascii() for t in tokens]), pa.array([clean(t) for t in tokens])],
-            names=["token", "n", "block", "ascii", "clean"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["token", "n"])
+
+
+def _blocks(budget: int):
+    def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for token, n in zip(batch.column("token").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                if clean(token):
+                    rows += [(k, token, n, True) for k in word_keys(token, budget)]
+                if not token.isascii():
+                    rows += [(k, token, n, False) for k in token_keys(token, budget)]
+            columns = zip(*rows, strict=True) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.bool_()), strict=True)], names=["block", "token", "n", "word"])
+
+    return blocks
+
+
+WALKED = "token string, cost int, foreign boolean, rank long, canonical string"
 
 
 def _walk(budget: int):
     def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, words, trie = None, [], None
         for batch in batches:
-            out: list[tuple[str, str]] = []
+            out = []
             for b, token, n, is_word in zip(*(batch.column(c).to_pylist() for c in ("block", "token", "n", "word")), strict=True):
                 if b != block:
                     block, words, trie = b, [], None
@@ -219,23 +272,24 @@ def _walk(budget: int):
                     trie = Trie()
                     for w in words:
                         trie.add(*w)
-                best = trie.canonical(token, budget)
-                if best is not None and best != table_form(token):
-                    out.append((token, best))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*out, strict=True)], names=["token", "canonical"])
+                best = trie.best(token, budget)
+                if best is not None:
+                    out.append((token, *best))
+            columns = zip(*out, strict=True) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.string()), strict=True)], names=["token", "cost", "foreign", "rank", "canonical"])
 
     return walk
 
 
 def spellings(texts: DataFrame, column: str, budget: int = 0) -> DataFrame:
-    """``token, canonical``: the tokens whose canonical spelling isn't the one the table gives."""
-    spark = texts.sparkSession
-    counted = texts.select(column).where(F.col(column).isNotNull()).mapInArrow(_vocabulary, "token string, n long, block string, ascii boolean, clean boolean")
-    words = counted.groupBy("block", "token", "ascii", "clean").agg(F.sum("n").alias("n"))
-    roles = F.explode(F.array_compact(F.array(F.when(F.col("clean"), F.lit(True)), F.when(~F.col("ascii"), F.lit(False)))))
-    placed = words.select("block", "token", "n", roles.alias("word")).repartition(shuffle_partitions(spark), "block")
-    return placed.sortWithinPartitions("block", F.col("word").desc(), "token").mapInArrow(_walk(budget), "token string, canonical string")
+    """``token, canonical``: the spelling that the automaton finds for each token that isn't plain ASCII; tokens that reach no clean spelling are left out."""
+    counted = texts.select(column).where(F.col(column).isNotNull()).mapInArrow(_vocabulary, "token string, n long")
+    words = counted.groupBy("token").agg(F.sum("n").alias("n"))
+    placed = words.mapInArrow(_blocks(budget), "block string, token string, n long, word boolean").repartition(shuffle_partitions(texts.sparkSession), "block")
+    walked = placed.sortWithinPartitions("block", F.col("word").desc(), "token").mapInArrow(_walk(budget), WALKED)
+    if not budget:  # then a token meets its words in one block
+        return walked.select("token", "canonical")
+    return walked.groupBy("token").agg(F.min(F.struct("cost", "foreign", "rank", "canonical")).alias("best")).select("token", "best.canonical")
 
 
 def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +303,7 @@ def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def rewritten(text: str, words: dict[str, str]) -> str:
-    """``text`` with the tokens in ``words`` replaced and the rest in table form."""
+    """``text`` with the tokens in ``words`` replaced by their spelling there and the rest in table form."""
     if not words:
         return table_form(text)
     out, at = [], 0
@@ -257,7 +311,7 @@ def rewritten(text: str, words: dict[str, str]) -> str:
         if m[0] in words:
             out += [table_form(text[at : m.start()]), words[m[0]]]
             at = m.end()
-    return "".join([*out, table_form(text[at:])])
+    return _in_kana("".join([*out, table_form(text[at:])]))
 
 
 def _rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,14 +331,29 @@ def canonical_texts(df: DataFrame, column: str, budget: int = 0) -> DataFrame:
     ``budget`` above 0 tokens also take the spelling of words that many visible edits away.
     """
     texts = df.select(F.col(column).alias("text")).where("text IS NOT NULL").distinct()
-    exceptions = cut(spellings(texts, "text", budget))
+    found = cut(spellings(texts, "text", budget))
     schema = "text string, canonical string"
-    if exceptions.isEmpty():
-        return texts.withColumn("words", F.lit(None).cast("map<string,string>")).mapInArrow(_rewrite, schema)
-    keyed = texts.withColumn("text_key", F.sha2("text", 256))
-    found = keyed.select("text_key", "text").mapInArrow(_tokens, "text_key string, token string").join(exceptions, "token")
-    words = found.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("token", "canonical"))).alias("words"))
-    return keyed.join(words, "text_key", "left").select("text", "words").mapInArrow(_rewrite, schema)
+    odd = F.rlike("text", F.lit(_ODD))
+    plainly = texts.where(~odd).withColumn("words", F.lit(None).cast("map<string,string>"))
+    keyed = cut(texts.where(odd).withColumn("text_key", F.sha2("text", 256)))
+    held = keyed.select("text_key", "text").mapInArrow(_tokens, "text_key string, token string").join(found, "token")
+    words = held.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("token", "canonical"))).alias("words"))
+    return plainly.unionByName(keyed.join(words, "text_key", "left").select("text", "words")).mapInArrow(_rewrite, schema)
+
+
+def lookalike_classes(df: DataFrame, key: str, column: str) -> DataFrame:
+    """``<key>, class_id, links``: the keys whose texts look like another key's but aren't the same string, a row per key and class; ``class_id`` is the digest of the
+    common form, ``links`` the number of keys in the class that a pair of different spellings ties to this one. Linear in the rows, however large a class. Nulls are left out, repeated rows count once."""
+    digest = lambda c: F.sha2(F.col(c), 256)
+    forms = canonical_texts(df, column).select(digest("text").alias("spelling"), digest("canonical").alias("class_id"))
+    rows = df.where(F.col(key).isNotNull() & F.col(column).isNotNull()).select(F.col(key).alias("k"), digest(column).alias("spelling")).distinct()
+    own = cut(rows.join(forms, "spelling").groupBy("class_id", "k").agg(F.count("*").alias("n"), F.min("spelling").alias("spelling")))
+    whole = own.groupBy("class_id").agg(F.count("*").alias("keys"))
+    # a key of one spelling is tied to all but those that have this one alone; a key of several to all
+    same = own.where("n = 1").groupBy("class_id", "spelling").agg(F.count("*").alias("alike"))
+    tied = own.join(whole, "class_id").join(same, ["class_id", "spelling"], "left")
+    links = F.when(F.col("n") > 1, F.col("keys") - 1).otherwise(F.col("keys") - F.col("alike"))
+    return tied.select(F.col("k").alias(key), "class_id", links.alias("links")).where("links > 0")
 
 
 def lookalike_pairs(df: DataFrame, key: str, column: str) -> DataFrame:

@@ -6,7 +6,7 @@ import unicodedata
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm.lookalikes import LOOKALIKES, canonical_texts, ignorable, lookalike_pairs, plain
+from tessera.llm.lookalikes import canonical_texts, lookalike_classes, lookalike_pairs
 from tessera.session import table
 
 
@@ -20,25 +20,34 @@ def p1_canonical_prompts(spark: SparkSession, folder: str) -> DataFrame:
     return tasks.join(forms, "raw_prompt").select("task_id", "raw_prompt", "canonical")
 
 
+def p1_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per task and class of prompts that look the same, with the number of tasks it is tied to by another spelling."""
+    return lookalike_classes(table(spark, folder, "tasks"), "task_id", "raw_prompt").select("task_id", "links")
+
+
+# Fixed values, written out apart from the operator's tables: letters and signs of prompts beside those that look the same.
+_ALIKE = ("АВЕКМНОРСТУХЅІЈаеорсухѕіјԛԝһӏѵΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϲ‐‑−∕⁄µ", "ABEKMHOPCTYXSIJaeopcyxsijqwhlvABEZHIKMNOPTYXovc---//μ")
+_BLANKS = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000\t"
+_BARE = r"[\x{00AD}\x{034F}\x{061C}\x{180B}-\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}\x{E0100}-\x{E01EF}]"
+# Full-width forms and the radicals of Chinese characters, by their compatibility decomposition.
+_WIDE = "".join(map(chr, [*range(0xFF01, 0xFF5F), *range(0x2F00, 0x2FD6)]))
+
+
 def form_sql() -> str:
-    """The form by table alone, as nested calls; equal to the operator's where no word of another script has its own spelling."""
-    chars = [chr(c) for c in range(0x20, 0x30000) if not 0xD800 <= c < 0xE000]
-    maps = {c: LOOKALIKES.get(p, p) for c in chars if len(p := plain(c)) == 1 and not ignorable(c) and (p != c or c in LOOKALIKES)}
-    for c in chars:
-        d = unicodedata.normalize("NFD", c)
-        if len(d) == 2 and d[0] in LOOKALIKES and c not in maps:
-            maps[c] = unicodedata.normalize("NFC", LOOKALIKES[d[0]] + d[1])
-    maps = {a: b for a, b in maps.items() if len(b) == 1}
-    bare = "".join(c for c in chars if ignorable(c))
-    said = lambda x: "".join(x).replace("'", "''")
-    return f"nfc_normalize(translate(nfc_normalize(translate(raw_prompt, '{bare}', '')), '{said(maps)}', '{said(maps.values())}'))"
+    """The form of a prompt in SQL: nothing without width, one width, blanks as spaces, look-alikes as Latin letters, composed."""
+    old, new = _WIDE + _BLANKS + _ALIKE[0], unicodedata.normalize("NFKC", _WIDE) + " " * len(_BLANKS) + _ALIKE[1]
+    said = lambda x: x.replace("'", "''")
+    return f"nfc_normalize(translate(nfc_normalize(regexp_replace(raw_prompt, '{_BARE}', '', 'g')), '{said(old)}', '{said(new)}'))"
 
 
-QUERIES = {"p1_found": p1_found, "p1_canonical_prompts": p1_canonical_prompts}
+QUERIES = {"p1_found": p1_found, "p1_canonical_prompts": p1_canonical_prompts, "p1_classes": p1_classes}
 
 SQL = {
     "p1_found": f"""WITH f AS (SELECT raw_prompt, {form_sql()} AS form FROM (SELECT DISTINCT raw_prompt FROM tasks WHERE raw_prompt IS NOT NULL)),
 t AS (SELECT DISTINCT task_id, raw_prompt, form FROM tasks JOIN f USING (raw_prompt))
 SELECT DISTINCT a.task_id AS task_id_a, b.task_id AS task_id_b FROM t a JOIN t b ON a.form = b.form AND a.task_id < b.task_id AND a.raw_prompt <> b.raw_prompt""",
     "p1_canonical_prompts": f"SELECT DISTINCT task_id, raw_prompt, {form_sql()} AS canonical FROM tasks WHERE raw_prompt IS NOT NULL",
+    "p1_classes": f"""WITH f AS (SELECT raw_prompt, {form_sql()} AS form FROM (SELECT DISTINCT raw_prompt FROM tasks WHERE raw_prompt IS NOT NULL)),
+t AS (SELECT DISTINCT task_id, raw_prompt, form FROM tasks JOIN f USING (raw_prompt) WHERE task_id IS NOT NULL)
+SELECT a.task_id, count(DISTINCT b.task_id) AS links FROM t a JOIN t b ON a.form = b.form AND a.task_id <> b.task_id AND a.raw_prompt <> b.raw_prompt GROUP BY a.task_id, a.form""",
 }
