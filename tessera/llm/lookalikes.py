@@ -9,6 +9,7 @@ and what stands between tokens, are brought into form by table.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -81,23 +82,47 @@ class _Table(dict):
         return out
 
 
-_SHAPES, _WIDTHS = _Table(True), _Table(False)
-_BARE = {c: None for c in range(0x110000) if ignorable(chr(c))}
+class _Bare(dict):
+    """For str.translate: leaves out what has no width."""
+
+    def __missing__(self, code: int) -> int | None:
+        self[code] = out = None if ignorable(chr(code)) else code
+        return out
+
+
+_SHAPES, _WIDTHS, _BARE = _Table(True), _Table(False), _Bare()
 
 
 _KANA = {ord(b): a for a, b in LOOKALIKES.items() if "ァ" <= a <= "ヺ"}
+_HAS_KANA = re.compile("[ァ-ヺ]").search
 _KANA_RUN = regex.compile("[ァ-ー" + "".join(map(chr, _KANA)) + "]*[ァ-ヺ][ァ-ー" + "".join(map(chr, _KANA)) + "]*")
 
 
 def _in_kana(text: str) -> str:
     """Shapes that are both Katakana and another script are Katakana where they stand beside other Katakana."""
-    return _KANA_RUN.sub(lambda m: m[0].translate(_KANA), text)
+    return _KANA_RUN.sub(lambda m: m[0].translate(_KANA), text) if _HAS_KANA(text) else text
+
+
+#: Characters met so far: those that are in form wherever they stand, and the others.
+_STAYS: set[str] = set()
+_CHANGES: set[str] = set()
+
+
+def _stays(ch: str) -> bool:
+    """Is in form, and neither a mark nor part of a syllable that could be composed with its neighbours."""
+    jamo = "\u1100" <= ch <= "\u11ff"
+    return _SHAPES[ord(ch)] == ch and not unicodedata.decomposition(ch) and unicodedata.category(ch)[0] not in "MC" and not jamo and unicodedata.normalize("NFD", ch) == ch
 
 
 def table_form(text: str) -> str:
     """``text`` in one form by table alone: what looks the same comes out equal."""
     if text.isascii():
         return text.replace("\t", " ")
+    held = set(text)
+    for c in held - _STAYS - _CHANGES:
+        (_STAYS if _stays(c) else _CHANGES).add(c)
+    if held.isdisjoint(_CHANGES):
+        return _in_kana(text)
     bare = unicodedata.normalize("NFD", text.translate(_BARE))
     # what looks like Katakana gets the other script's character first, so that both spellings come to one
     return _in_kana(unicodedata.normalize("NFC", unicodedata.normalize("NFD", bare.translate(_SHAPES))))
@@ -330,12 +355,12 @@ def canonical_texts(df: DataFrame, column: str, budget: int = 0) -> DataFrame:
     a text of characters without width becomes empty; repeated rows give one row; other columns are ignored. With a
     ``budget`` above 0 tokens also take the spelling of words that many visible edits away.
     """
-    texts = df.select(F.col(column).alias("text")).where("text IS NOT NULL").distinct()
-    found = cut(spellings(texts, "text", budget))
+    texts = cut(df.select(F.col(column).alias("text")).where("text IS NOT NULL").distinct())
+    found = cut(spellings(texts, "text", budget)).hint("merge")  # grows with the vocabulary: never broadcast
     schema = "text string, canonical string"
     odd = F.rlike("text", F.lit(_ODD))
     plainly = texts.where(~odd).withColumn("words", F.lit(None).cast("map<string,string>"))
-    keyed = cut(texts.where(odd).withColumn("text_key", F.sha2("text", 256)))
+    keyed = texts.where(odd).withColumn("text_key", F.sha2("text", 256))
     held = keyed.select("text_key", "text").mapInArrow(_tokens, "text_key string, token string").join(found, "token")
     words = held.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("token", "canonical"))).alias("words"))
     return plainly.unionByName(keyed.join(words, "text_key", "left").select("text", "words")).mapInArrow(_rewrite, schema)
