@@ -21,14 +21,16 @@ from pyspark.sql import functions as F
 
 from tessera.session import cut, ship
 
+#: Vocabulary file of a public tokenizer, where the session's ``spark.tessera.vocabulary`` names no other.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern that splits text before the merges of that vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Topics that long words are hashed to; a document's topic is the one most of them fall in.
+#: Classes that long words are hashed to. A document's "topic" is the class most of them fall in (0 without such words): it parts texts by their vocabulary, and
+#: is no subject; a table with subjects of its own brings them as that column.
 TOPICS = 16
 _LONG = re.compile(r"[^\W\d_]{7,}")
-#: Steps of the calibrated threshold, and the largest ratio of a document's random number to its probability that is told apart.
-BINS, REACH = 8192, 4.0
+#: Steps of the calibrated threshold: of r / (1 + r), where r is the ratio of a document's random number to its probability, so that no ratio is out of reach.
+BINS = 8192
 ROUNDS = 200
 
 
@@ -52,8 +54,8 @@ class _Encoder:
 
         self.encoding = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def tokens(self, text: str) -> int:
-        return len(self.encoding.encode_ordinary(text))
+    def tokens(self, texts: list[str]) -> list[int]:
+        return [len(t) for k in range(0, len(texts), 256) for t in self.encoding.encode_ordinary_batch(texts[k : k + 256], num_threads=1)]
 
 
 @lru_cache(maxsize=1 << 17)
@@ -80,33 +82,33 @@ def _measure(vocabulary):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("source"), batch.column("lang"), pa.array([_topic(t) for t in texts], pa.int32()), pa.array([encoder.tokens(t) for t in texts], pa.int64())], names=["id", "source", "lang", "topic", "tokens"]
+                [batch.column("id"), batch.column("source"), batch.column("lang"), pa.array([_topic(t) for t in texts], pa.int32()), pa.array(encoder.tokens(texts), pa.int64())], names=["id", "source", "lang", "topic", "tokens"]
             )
 
     return measure
 
 
-def measured(docs: DataFrame, id_column: str, text: str, source: str, lang: str, vocabulary: str = VOCABULARY) -> DataFrame:
+def measured(docs: DataFrame, id_column: str, text: str, source: str, lang: str, vocabulary: str | None = None) -> DataFrame:
     """``id, source, lang, topic, tokens`` of every document: source in one spelling, size in tokens of the public tokenizer whose file is ``vocabulary``."""
     ship(docs.sparkSession)
-    with open(vocabulary, "rb") as f:
+    with open(vocabulary or docs.sparkSession.conf.get("spark.tessera.vocabulary", VOCABULARY), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), one_spelling(F.col(source)).alias("source"), language(F.col(lang)).alias("lang"), F.col(text).alias("text"))
     return rows.mapInArrow(_measure(docs.sparkSession.sparkContext.broadcast(ranks)), f"id {kind}, source string, lang string, topic int, tokens long")
 
 
-def rake(tokens: np.ndarray, source: np.ndarray, wanted: np.ndarray, limits: np.ndarray, others: list[np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
+def rake(tokens: np.ndarray, source: np.ndarray, wanted: np.ndarray, limits: np.ndarray, others: list[np.ndarray], rounds: int = ROUNDS, start: np.ndarray | None = None) -> np.ndarray:
     """Uses per token of each cell: the sums by source come to ``wanted`` or, where that is more than there is, to its limit;
     the marginals of ``others`` come as near to those of the cells taken together as limits and sources allow.
 
-    tokens: of each cell; source: number of each cell's source; wanted, limits: by source; others: a numbering of the cells per further marginal.
+    tokens: of each cell; source: number of each cell's source; wanted, limits: by source; others: a numbering of the cells per further marginal; start: weights to begin with (1).
     """
     there = np.bincount(source, tokens, len(wanted))
     goal = np.minimum(wanted, there * limits)
     if not len(tokens):
         return np.zeros(0)
-    weight = np.ones(len(tokens))
+    weight = np.ones(len(tokens)) if start is None else start
     share = [np.bincount(o, tokens) / max(tokens.sum(), 1) for o in others]
     for _ in range(rounds):
         before = weight.copy()
@@ -127,14 +129,16 @@ def rake(tokens: np.ndarray, source: np.ndarray, wanted: np.ndarray, limits: np.
     return weight
 
 
-def mixtures(docs: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Draws ``run_name, id, source, tokens, uses`` and the report of every run's sources.
+def mixtures(docs: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Draws ``run_name, id, source, tokens, uses``, the report of every run's sources, and that of its languages and topics.
 
     docs: as from ``measured`` (read several times: best a written table). targets: ``run_name, source, target_share, max_repeats,
     size_factor``. The wanted size of a run is ``size_factor`` times the tokens of all documents, a source's part its share of that. Report:
     ``run_name, source, target_share, wanted_tokens, available_tokens`` (with all repeats)``, drawn_tokens, actual_share`` (of all drawn in the
     run)``, shortfall_tokens, documents, uses``. A source without documents is reported with nothing drawn; documents of null or other
     sources are not drawn but count in the wanted size; documents of no tokens are not drawn; an empty table of documents gives zeros.
+    The second report: ``run_name, marginal`` (``lang`` or ``topic``)``, value, wanted_share`` (of the run's sources taken together)``, raked_share`` (what limits and sources
+    allow, after ROUNDS rounds at most)``, drawn_share, moved`` (the largest change of a weight in the last round: 0 when the raking has settled).
     """
     spark = docs.sparkSession
     goals = targets.select("run_name", one_spelling(F.col("source")).alias("source"), "target_share", "max_repeats", "size_factor")
@@ -145,7 +149,7 @@ def mixtures(docs: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]
         runs.setdefault(r["run_name"], []).append(r)
     # bounded: sources of the targets, times two- or three-letter languages, times TOPICS
     held = [r for r in cells.join(F.broadcast(goals.select("source").distinct()), "source").where("tokens > 0").collect()]
-    weights, wants = [], []
+    weights, wants, sides = [], [], []
     for run, of in runs.items():
         names = [r["source"] for r in of]
         own = [c for c in held if c["source"] in set(names)]
@@ -154,7 +158,13 @@ def mixtures(docs: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]
         wanted = np.array([r["target_share"] * r["size_factor"] * whole for r in of])
         limits = np.array([float(r["max_repeats"]) for r in of])
         number = lambda column: np.unique([str(c[column]) for c in own], return_inverse=True)[1] if own else np.zeros(0, np.int64)  # noqa: B023, E731
-        weight = rake(tokens, source, wanted, limits, [number("lang"), number("topic")])
+        others = [number("lang"), number("topic")]
+        weight = rake(tokens, source, wanted, limits, others)
+        moved = float(np.abs(rake(tokens, source, wanted, limits, others, 1, weight) - weight).max(initial=0))
+        for side in ("lang", "topic"):
+            for value in sorted({str(c[side]) for c in own}):
+                held_by = np.array([str(c[side]) == value for c in own])
+                sides.append((run, side, value, float(tokens[held_by].sum() / tokens.sum()), float((tokens * weight)[held_by].sum() / max((tokens * weight).sum(), 1e-9)), moved))
         weights += [(run, c["source"], c["lang"], c["topic"], float(w)) for c, w in zip(own, weight, strict=True)]
         there = np.bincount(source, tokens, len(names)) if len(own) else np.zeros(len(names))
         for r, want, limit, t in zip(of, wanted, limits, there, strict=True):
@@ -166,8 +176,8 @@ def mixtures(docs: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]
     drawn = docs.where("tokens > 0").join(F.broadcast(weight_frame), ["source", "lang", "topic"])
     random = (F.pmod(F.xxhash64("id", "run_name", F.lit("draw")), F.lit(1 << 40)) + 0.5) / float(1 << 40)
     chance = F.greatest(F.col("weight") - F.col("base"), F.lit(0.0))
-    ranked = drawn.select("run_name", "id", "source", "tokens", "weight", whole_uses.alias("base")).withColumn("chance", chance)
-    step = F.when(F.col("chance") > 1e-9, F.least(F.floor(random / F.col("chance") * (BINS / REACH)), F.lit(BINS))).otherwise(F.lit(BINS)).cast("int")
+    ranked = drawn.select("run_name", "id", "source", "lang", "topic", "tokens", "weight", whole_uses.alias("base")).withColumn("chance", chance)
+    step = F.when(F.col("chance") > 1e-9, F.least(F.floor(random / (random + F.col("chance")) * BINS), F.lit(BINS - 1))).otherwise(F.lit(BINS)).cast("int")
     ranked = ranked.withColumn("step", step)
     # tokens by step: at most BINS rows per run and source
     sums = ranked.groupBy("run_name", "source", "step").agg(F.sum("tokens").alias("t"), F.sum(F.col("tokens") * F.col("base")).alias("sure")).collect()
@@ -186,7 +196,8 @@ def mixtures(docs: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]
         limits_of.append((*key, take))
     threshold = spark.createDataFrame(limits_of, "run_name string, source string, last int")
     draws = ranked.join(F.broadcast(threshold), ["run_name", "source"]).withColumn("uses", F.col("base") + (F.col("step") <= F.col("last")).cast("int") * (F.col("step") < BINS).cast("int"))
-    draws = cut(draws.where("uses > 0").select("run_name", "id", "source", "tokens", "uses"))
+    full = cut(draws.where("uses > 0").select("run_name", "id", "source", "lang", "topic", "tokens", "uses"))
+    draws = full.select("run_name", "id", "source", "tokens", "uses")
     got = draws.groupBy("run_name", "source").agg(F.sum(F.col("tokens") * F.col("uses")).alias("drawn_tokens"), F.count("*").alias("documents"), F.sum("uses").alias("uses"))
     run_total = got.groupBy("run_name").agg(F.sum("drawn_tokens").alias("run_tokens"))
     none = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
@@ -195,4 +206,10 @@ def mixtures(docs: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]
         "run_name", "source", "target_share", "wanted_tokens", "available_tokens", none("drawn_tokens"), F.coalesce(F.round(F.col("drawn_tokens") / F.col("run_tokens"), 6), F.lit(0.0)).alias("actual_share"),
         F.greatest(F.col("wanted_tokens") - F.coalesce("drawn_tokens", F.lit(0)), F.lit(0)).alias("shortfall_tokens"), none("documents"), none("uses"),
     )
-    return draws, report
+    side_frame = spark.createDataFrame(sides, "run_name string, marginal string, value string, wanted_share double, raked_share double, moved double")
+    both = F.explode(F.array(*[F.struct(F.lit(c).alias("marginal"), F.col(c).cast("string").alias("value")) for c in ("lang", "topic")]))
+    drawn_of = full.select("run_name", (F.col("tokens") * F.col("uses")).alias("t"), both.alias("m")).groupBy("run_name", "m.marginal", "m.value").agg(F.sum("t").alias("t"))
+    marginals = side_frame.join(drawn_of, ["run_name", "marginal", "value"], "left").join(run_total, "run_name", "left")
+    rounded = lambda c: F.round(F.col(c), 6).alias(c)
+    drawn_share = F.coalesce(F.round(F.col("t") / F.col("run_tokens"), 6), F.lit(0.0)).alias("drawn_share")
+    return draws, report, marginals.select("run_name", "marginal", "value", rounded("wanted_share"), rounded("raked_share"), drawn_share, "moved")

@@ -25,11 +25,11 @@ def _jump(parents: DataFrame) -> DataFrame:
             return parents.select("comp", "parent")
 
 
-def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def spanning_forest(edges: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Labels ``node, root`` (the smallest node of the component) and the forest ``u, v`` of a graph with edges ``u, v``.
 
     Edges have no direction; loops and edges with a null end tie nothing, but a loop's node is labelled; repeated edges count
-    once. An empty table gives two empty ones.
+    once. An empty table gives two empty ones. path: the forest is kept there as a Parquet table, whose rounds are appended as they are found.
     """
     known = edges.where("u IS NOT NULL AND v IS NOT NULL").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     known = cut(known)
@@ -41,6 +41,8 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         both = left.unionByName(left.select(F.col("cv").alias("cu"), F.col("cu").alias("cv"), "edge"))
         picked = cut(both.groupBy("cu").agg(F.min(F.struct("edge", "cv")).alias("best")).select(F.col("cu").alias("comp"), F.col("best.cv").alias("parent"), F.col("best.edge.u").alias("u"), F.col("best.edge.v").alias("v")))
         forests.append(picked.select("u", "v").distinct())
+        if path:
+            forests[-1].write.mode("append" if len(forests) > 1 else "overwrite").parquet(path)
         # two components that picked the same edge point at each other: the smaller one becomes a root
         back = picked.select(F.col("comp").alias("parent"), F.col("parent").alias("above"))
         rooted = picked.join(back, "parent").select("comp", F.when((F.col("above") == F.col("comp")) & (F.col("comp") < F.col("parent")), F.col("comp")).otherwise(F.col("parent")).alias("parent"))
@@ -52,6 +54,10 @@ def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     forest = forests[0] if forests else known.limit(0)
     for part in forests[1:]:
         forest = forest.unionByName(part)
+    if path:
+        if not forests:
+            forest.write.mode("overwrite").parquet(path)
+        forest = edges.sparkSession.read.parquet(path)
     smallest = labels.groupBy("comp").agg(F.min("node").alias("root"))
     return labels.join(smallest, "comp").select("node", "root"), forest
 
@@ -108,13 +114,13 @@ def deal(groups: DataFrame, targets: list[tuple[str, float]], large: float = LAR
     return dealt.unionByName(spark.createDataFrame(placed, f"group {kind}, split string"))
 
 
-def grouped_splits(rows: DataFrame, key: str, ties: DataFrame, targets: list[tuple[str, float]]) -> DataFrame:
+def grouped_splits(rows: DataFrame, key: str, ties: DataFrame, targets: list[tuple[str, float]], forest: str | None = None) -> DataFrame:
     """``rows`` with ``group_key`` and ``split``: rows whose integer ``key`` is the same or tied by an edge ``u, v`` of ``ties``, directly or through others, get one split.
 
-    A row with a null key is a group of its own. Repeated rows stay. Columns of ``rows`` named ``group_key`` or ``split`` are replaced;
+    forest: where the spanning forest is kept, so that later rows can be tied to it. A row with a null key is a group of its own. Repeated rows stay. Columns of ``rows`` named ``group_key`` or ``split`` are replaced;
     an empty table gives an empty one.
     """
-    labels = cut(spanning_forest(ties.select(F.col("u").cast("bigint"), F.col("v").cast("bigint")))[0].withColumnsRenamed({"node": "_key", "root": "_root"}))
+    labels = cut(spanning_forest(ties.select(F.col("u").cast("bigint"), F.col("v").cast("bigint")), forest)[0].withColumnsRenamed({"node": "_key", "root": "_root"}))
     # rows without a key are numbered below zero, each its own group
     marked = cut(rows.drop("group_key", "split").withColumn("_key", F.col(key).cast("bigint")).withColumn("_alone", F.monotonically_increasing_id()))
     own = F.when(F.col("_key").isNull(), F.concat(F.lit("alone "), F.col("_alone").cast("string"))).otherwise(F.coalesce("_root", "_key").cast("string"))

@@ -25,7 +25,7 @@ def test_mixture(spark):
     sized = measured(docs, "doc_id", "text", "source", "lang").cache()
     total = sized.agg({"tokens": "sum"}).first()[0]
     targets = spark.createDataFrame([("r", "Big", 0.5, 1, 0.8), ("r", "small", 0.4, 2, 0.8), ("r", "nowhere", 0.1, 2, 0.8), ("s", "small", 1.0, 3, 0.25)], "run_name string, source string, target_share double, max_repeats int, size_factor double")
-    draws, report = mixtures(sized, targets)
+    draws, report, sides = mixtures(sized, targets)
     by = {(r["run_name"], r["source"]): r for r in report.collect()}
     assert by["r", "big"]["drawn_tokens"] == pytest.approx(0.4 * total, rel=0.01) and by["r", "big"]["shortfall_tokens"] < 0.01 * total
     assert by["r", "small"]["drawn_tokens"] == by["r", "small"]["available_tokens"] and by["r", "small"]["shortfall_tokens"] > 0
@@ -34,7 +34,16 @@ def test_mixture(spark):
     uses = {(r["run_name"], r["id"]): r["uses"] for r in draws.collect()}
     assert all(n <= (1 if run == "r" and i % 10 else 3) for (run, i), n in uses.items()) and max(n for (run, _), n in uses.items() if run == "r") == 2
     assert not {9001, 9002, 9003, 9004} & {i for _, i in uses}
-    draws, report = mixtures(sized.limit(0), targets)
+    shares = sides.collect()
+    for run in ("r", "s"):
+        for marginal in ("lang", "topic"):
+            own = [r for r in shares if (r["run_name"], r["marginal"]) == (run, marginal)]
+            for share in ("wanted_share", "raked_share", "drawn_share"):
+                assert sum(r[share] for r in own) == pytest.approx(1, abs=1e-4)
+            assert all(abs(r["raked_share"] - r["drawn_share"]) < 0.03 and r["moved"] < 1e-6 for r in own)
+    assert all(abs(r["raked_share"] - r["wanted_share"]) < 1e-4 for r in shares if r["run_name"] == "s")
+    draws, report, sides = mixtures(sized.limit(0), targets)
+    assert sides.count() == 0
     assert draws.count() == 0 and report.agg({"drawn_tokens": "sum"}).first()[0] == 0
 
 
