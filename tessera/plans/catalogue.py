@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import integrity, queries as pipeline
+from tessera.plans import file_queries, integrity, queries as pipeline
 
-MODULES = (pipeline, integrity)
+MODULES = (pipeline, integrity, file_queries)
 
 
 def entry(spark: SparkSession, folder: str) -> DataFrame:

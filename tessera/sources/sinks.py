@@ -51,11 +51,11 @@ def tasks_by_account(tasks: DataFrame, folder: str) -> None:
 
 
 def csv_table(df: DataFrame, path: str, fields: Sequence[str] | None = None, order: Sequence[str] = ()) -> None:
-    """A CSV with a header and the given fields; null and missing fields are blank, quotes are doubled. order: range-sorted over the files, whose names are in order."""
+    """A CSV with a header and the given fields; null and missing fields are blank, quotes are doubled, blanks around values stay. order: range-sorted over the files, whose names are in order."""
     names = list(fields or df.columns)
     placed = df.orderBy(*order) if order else df
     placed = placed.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in names])
-    placed.write.mode("overwrite").option("header", True).option("emptyValue", "").option("quote", '"').option("escape", '"').csv(path)
+    placed.write.mode("overwrite").option("header", True).option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("quote", '"').option("escape", '"').csv(path)
 
 
 def json_table(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
