@@ -57,3 +57,11 @@ def test_files(spark):
     assert q == {("a", 0, 10, 0), ("b", None, None, None), ("c", None, None, None), ("d", 0, 25, 0), ("e", 0, 0, 0)}
     assert sorted((r["piece"], r["bytes"]) for r in got if r["f"] == "d" and r["limit_name"] == "p") == [(0, 10), (1, 10), (2, 5)]
     assert packed_files(files.limit(0), "f", "n", "t", [("p", 10)]).count() == 0
+
+
+def test_pack_is_close_to_the_bytes():
+    rng = np.random.default_rng(4)
+    for sizes, capacity in ((rng.lognormal(15, 1.2, 8000).astype(int), 1 << 28), (rng.integers(1, 1000, 8000), 20_000), (rng.lognormal(10, 2, 8000).astype(int), 1 << 24)):
+        sizes = np.minimum(sizes, capacity)
+        shards = max(pack(sizes.tolist(), capacity)) + 1
+        assert shards <= 1.01 * sizes.sum() / capacity + 1
