@@ -59,6 +59,9 @@ p AS (SELECT x, y FROM o JOIN z a ON a.tid = x JOIN z b ON b.tid = y WHERE n >=
 found AS MATERIALIZED (SELECT DISTINCT least(a.global_id, b.global_id) AS global_id_a, greatest(a.global_id, b.global_id) AS global_id_b FROM p JOIN m a ON a.tid = x JOIN m b ON b.tid = y WHERE a.global_id <> b.global_id)"""
 
 SQL = {
+    "p5_classes": f"""WITH {_PAIRS}, k AS (SELECT tid, min(global_id) AS class_id FROM m GROUP BY 1),
+l AS (SELECT tid, count(*) AS links FROM (SELECT x AS tid FROM p WHERE x <> y UNION ALL SELECT y FROM p WHERE x <> y) GROUP BY 1)
+SELECT global_id, class_id, coalesce(links, 0) AS links FROM m JOIN k USING (tid) LEFT JOIN l USING (tid)""",
     "p5_found": f"WITH {_PAIRS} SELECT * FROM found",
     "p5_groups": f"""WITH RECURSIVE {_PAIRS}, e AS (SELECT global_id_a AS u, global_id_b AS v FROM found UNION SELECT global_id_b, global_id_a FROM found),
 r AS (SELECT u AS node, u AS seen FROM e UNION SELECT r.node, e.v FROM r JOIN e ON r.seen = e.u)
