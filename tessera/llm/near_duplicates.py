@@ -1,6 +1,6 @@
 """Near-duplicates with small edits: an exact similarity join of n-gram sets.
 
-Grams are ordered rare first (any one order is right), and grams that stand in the same texts, as those of one phrase do, follow each other as one
+Grams are ordered by the texts that hold them, for the grams of their cluster, few first (any one order is right), and grams that stand in the same texts, as those of one phrase do, follow each other as one
 cluster: told by document counts and three least hashes of the texts in tables of fixed size. Two sets of similarity t share a gram in their prefixes,
 so prefixes are joined cluster by cluster: one row per text and cluster of its prefix grams. A pair is taken up only where
 lengths and places leave room for the overlap it needs (length and positional filter), where the cluster is not known to be
@@ -24,11 +24,15 @@ BUCKETS = 1 << 20
 #: Least hashes of its texts that a gram is clustered by.
 LEAST = 3
 #: Rows of one cluster joined at once; a cluster in more texts is split into parts that are joined pair by pair.
-CHUNK = 8192
+CHUNK = 1 << 17
 #: Groups up to this size are joined together, offset by offset; larger ones row against column.
 SMALL = 64
-#: 64-bit words of a signature, those that are compared first, and of these the ones compared row against column.
-WORDS, HEAD, BLOCKED = 6, 4, 3
+#: 64-bit words of a signature.
+WORDS = 6
+#: Rows and columns compared at once, which fit the processor's cache; a word of the signature for so many bits that a pair may differ in.
+ACROSS, DOWN, BITS_A_WORD = 64, 1024, 20
+#: Grams of a cluster that count in the order. The one of a template that all texts share has many, and would be a group of all texts.
+GRAMS = 16
 _SLACK = 1e-3
 
 
@@ -82,11 +86,11 @@ def _counts(n: int):
 
 
 def _clusters(bucket: np.ndarray, docs: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """By bucket the number of its cluster, rare first, and by cluster how many texts hold its most frequent gram."""
+    """By bucket the number of its cluster, first those of few texts for their grams, and by cluster how many texts hold its most frequent gram."""
     cluster = np.unique(least, axis=1, return_inverse=True)[1].ravel() if len(bucket) else np.zeros(0, np.int64)
     most = np.zeros(int(cluster.max(initial=-1)) + 1, np.int64)
     np.maximum.at(most, cluster, docs)
-    order = np.argsort(most, kind="stable")
+    order = np.argsort(most / np.clip(np.bincount(cluster), 1, GRAMS), kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     number = np.zeros(BUCKETS, np.int32)
@@ -162,10 +166,8 @@ class _Rows:
         ratio = threshold / (1 + threshold)
         # partner's size that the rest of this set can still reach the overlap for
         self.reach = ((self.size - col("place")) / ratio - self.size + _SLACK).astype(np.float32)
-        joined = b"".join(t.column("signature").to_pylist())
-        signature = np.frombuffer(joined, np.uint64).reshape(-1, WORDS)
-        self.heads = [np.ascontiguousarray(signature[:, w]) for w in range(HEAD)]
-        self.rest = np.ascontiguousarray(signature[:, HEAD:])
+        signature = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint64).reshape(-1, WORDS)
+        self.words = [np.ascontiguousarray(signature[:, w]) for w in range(WORDS)]
         # a pair's sets may differ in the sum of its two shares from this place on, if all before it differ
         self.share = (self.size * (1 - 2 * ratio) - col("place") + _SLACK).astype(np.float32)
 
@@ -177,22 +179,34 @@ class _Rows:
 
     def large(self, start: int, count: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of one large group. Rows in order of their share: a row meets only those whose share leaves any difference to the pair, and
-        most pairs end with the first words of their signatures, compared row against column."""
-        share = np.ceil(self.share[start : start + count]).astype(np.int32)
-        order = np.argsort(-share, kind="stable")
-        share, back = share[order], order + start
-        heads = [h[back] for h in self.heads[:BLOCKED]]
+        most pairs end with the first words of their signatures, compared row against column: fewer where little difference is left."""
+        back = np.argsort(-self.share[start : start + count], kind="stable") + start
+        share = self.share[back]
+        words = [w[back] for w in self.words]
+        differ, bits, more = np.empty((ACROSS, DOWN), np.uint64), np.empty((ACROSS, DOWN), np.uint8), np.empty((ACROSS, DOWN), np.uint8)
         found = [(back[:0], back[:0])]
-        for at in range(0, count, 64):
+        for at in range(0, count, ACROSS):
             if 2 * share[at] < 0:
                 break
-            top, right = slice(at, at + 64), slice(at, int(np.searchsorted(-share, share[at], side="right")))
-            bits = np.bitwise_count(heads[0][top, None] ^ heads[0][None, right])
-            for head in heads[1:]:
-                bits += np.bitwise_count(head[top, None] ^ head[None, right])
-            i, j = np.nonzero(bits <= share[top, None] + share[None, right])
+            top, end = slice(at, min(at + ACROSS, count)), int(np.searchsorted(-share, share[at], side="right"))
+            # what the first of these rows leaves, as no other leaves more
+            left = np.clip(np.floor(share[at] + share[at:end]), 0, 255).astype(np.uint8)
+            near = []
+            for to in range(at, end, DOWN):
+                right, allowed = slice(to, min(to + DOWN, end)), left[to - at : to - at + DOWN]
+                x, n, m = (b[: top.stop - at, : right.stop - to] for b in (differ, bits, more))
+                for k in range(min(WORDS, 1 + int(allowed[0]) // BITS_A_WORD)):
+                    np.bitwise_xor(words[k][top, None], words[k][None, right], out=x)
+                    np.bitwise_count(x, out=m if k else n)
+                    if k > 2:  # four words may differ in over 255 bits: too low a sum only keeps the pair for close()
+                        np.minimum(n, 191, out=n)
+                    if k:
+                        n += m
+                i, j = np.divmod(np.flatnonzero(n <= allowed), n.shape[1])
+                near.append((i + at, j + to))
+            i, j = np.concatenate([i for i, _ in near]), np.concatenate([j for _, j in near])
             upper = j > i
-            i, j = back[i[upper] + at], back[j[upper] + at]
+            i, j = back[i[upper]], back[j[upper]]
             ok = self.first_ok(i, j)
             found.append(self.close(i[ok], j[ok]))
         return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
@@ -204,13 +218,12 @@ class _Rows:
         for at in range(0, len(i), 1 << 16):
             x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
             allowed, bits = self.share[x] + self.share[y], np.zeros(len(x), np.uint16)
-            for head in self.heads:
-                bits = bits + np.bitwise_count(head[x] ^ head[y])
+            for word in self.words:
+                bits += np.bitwise_count(word[x] ^ word[y])
                 near = np.flatnonzero(bits <= allowed)
                 x, y, allowed, bits = x[near], y[near], allowed[near], bits[near]
-            near = bits + np.bitwise_count(self.rest[x] ^ self.rest[y]).sum(1) <= allowed
-            out_i.append(x[near])
-            out_j.append(y[near])
+            out_i.append(x)
+            out_j.append(y)
         return np.concatenate(out_i), np.concatenate(out_j)
 
 
